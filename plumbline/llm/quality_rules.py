@@ -36,7 +36,7 @@ RULES = (
     Rule(0, "few_words", "n_words < 50"),
     Rule(1, "repeated_words", "100 * n_repeat_words > 50 * n_words"),
     Rule(2, "symbols", "10 * n_symbols > n_words"),
-    Rule(3, "repeated_lines", "100 * n_dup_lines > 30 * n_lines"),
+    Rule(3, "repeated_lines", "100 * n_dup_lines > 50 * n_lines"),
     Rule(4, "word_length", "word_chars < 2 * n_words OR word_chars > 12 * n_words"),
     Rule(5, "few_letters", "2 * n_letters < word_chars"),
     Rule(6, "capitals", "2 * n_upper > n_letters AND n_letters > 0"),
@@ -159,7 +159,7 @@ WITH t AS (
   FROM w LEFT JOIN r USING (doc_id)
 ), b AS (
   SELECT *, CAST((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
-    + 8 * (100 * n_dup_lines > 30 * n_lines)::INT + 16 * (word_chars < 2 * n_words OR word_chars > 12 * n_words)::INT
+    + 8 * (100 * n_dup_lines > 50 * n_lines)::INT + 16 * (word_chars < 2 * n_words OR word_chars > 12 * n_words)::INT
     + 32 * (2 * n_letters < word_chars)::INT + 64 * (2 * n_upper > n_letters AND n_letters > 0)::INT AS BIGINT) AS fail_bits
   FROM m
 )
