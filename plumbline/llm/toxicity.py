@@ -1,7 +1,7 @@
 """Toxicity: a counterfactual-regularised classifier (operator 6).
 
-A sparse logistic model over the words a text holds (each counted once, so one
-insult counts in a text of any length). Training adds a penalty on score
+A sparse logistic model over the words a text holds and their beginnings (each
+counted once, so one insult counts in a text of any length). Training adds a penalty on score
 changes under counterfactuals: in each sentence of a labelled text that
 mentions an identity term, the term is swapped for the others of its group, and
 the squared change of the sentence's logit is penalised. Words of the model
@@ -17,6 +17,7 @@ classes the score is 0. Empty input, empty output; other columns don't matter.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,6 +32,10 @@ MOST = 6000
 #: Words in fewer sampled texts are left out.
 LEAST_TEXTS = 4
 CUT = 0.5
+#: Lengths of the word beginnings that are features.
+STEMS = (4, 5)
+#: Features are chosen by the z score of their shares in the two classes, these many at most.
+LEAST_Z, MOST_FEATURES = 4.0, 4000
 #: Groups of identity terms that may stand for each other in a sentence.
 IDENTITY = (
     ("women", "men", "girls", "boys", "transgender", "nonbinary"),
@@ -53,6 +58,14 @@ def words_of(text: str) -> list[str]:
     return _WORDS.findall(text.lower())
 
 
+def parts_of(words) -> set[str]:
+    """The words and, for longer ones, their beginnings of STEMS letters (marked), so that inflected forms share a feature."""
+    out = set(words)
+    for n in STEMS:
+        out.update(f"{w[:n]}*" for w in words if len(w) > n)
+    return out
+
+
 @dataclass
 class Model:
     bias: float
@@ -63,7 +76,8 @@ class Model:
         return self.bias + sum(x for x in map(get, words) if x is not None)
 
     def score(self, text: str) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.logit(sorted(self.weights.keys() & set(words_of(text)))), -30, 30))))
+        found = self.weights.keys() & parts_of(set(words_of(text)))
+        return float(1 / (1 + np.exp(-np.clip(self.logit(sorted(found)), -30, 30))))
 
 
 def swaps(text: str) -> Iterator[tuple[str, str]]:
@@ -76,71 +90,74 @@ def swaps(text: str) -> Iterator[tuple[str, str]]:
                     yield term, other
 
 
-def fit(texts: list[str], y: list[int], weight: list[float] | None = None, penalty: float = 1.0, l1: float = 2e-3, rounds: int = 400, least: int = LEAST_TEXTS) -> Model:
-    """FISTA on the weighted logistic loss + penalty * mean squared logit change over the swaps + l1 * |w|."""
+def fit(texts: list[str], y: list[int], weight: list[float] | None = None, penalty: float = 20.0, l1: float = 1e-3, ridge: float = 1e-4, rounds: int = 500, least: int = LEAST_TEXTS) -> Model:
+    """Weighted logistic loss + penalty * mean squared logit change over the swaps.
+
+    Features that differ between the classes are chosen first; FISTA with an L1
+    step then finds the ones that matter, and a last fit of those, with a small
+    ridge in place of L1, undoes the shrinking.
+    """
     if set(y) != {0, 1}:
         return Model(-30.0, {})
-    bags = [sorted(set(words_of(t))) for t in texts]
-    count: dict[str, int] = {}
-    for bag in bags:
-        for w in bag:
-            count[w] = count.get(w, 0) + 1
-    pairs: dict[tuple[str, str], int] = {}
-    for t in texts:
-        for p in swaps(t):
-            pairs[p] = pairs.get(p, 0) + 1
-    vocabulary = {w: i for i, w in enumerate(sorted(w for w, n in count.items() if n >= least))}
-    for p in pairs:  # a swap's words take part even if rare
-        for w in p:
-            vocabulary.setdefault(w, len(vocabulary))
-    rows = np.repeat(np.arange(len(bags)), [sum(w in vocabulary for w in b) for b in bags])
-    cols = np.array([vocabulary[w] for b in bags for w in b if w in vocabulary], np.int64)
+    bags = [parts_of(set(words_of(t))) for t in texts]
     target, n = np.array(y, float), len(bags)
     share = np.array(weight if weight is not None else [1.0] * n)
     share = share / share.sum()
-    out = np.array([vocabulary[a] for a, _ in pairs], np.int64)
-    into = np.array([vocabulary[b] for _, b in pairs], np.int64)
-    times = np.array(list(pairs.values()), float) / max(1, sum(pairs.values())) * penalty
-    size = len(vocabulary)
-    # Columns are scaled by their weighted norm, so that a step fits frequent and rare words; the bias is a column too.
-    norm = np.bincount(cols, share[rows], size)
-    scale = 1 / np.sqrt(np.maximum(norm, share.min() * least))
-    w, b = np.zeros(size), float(np.log((share @ target + 1e-3) / (1 - share @ target + 1e-3)))
-    zw, zb, t = w.copy(), b, 1.0
-
-    def product(u: np.ndarray) -> np.ndarray:
-        return np.bincount(rows, (scale * u)[cols], n)
-
-    def gradient(u: np.ndarray, c: float) -> tuple[np.ndarray, float]:
-        p = 1 / (1 + np.exp(-np.clip(product(u) + c, -30, 30)))
-        r = share * (p - target)
-        g = np.bincount(cols, r[rows], size) * scale
-        if len(out):
-            d = times * ((scale * u)[out] - (scale * u)[into])
-            g += 2 * scale * (np.bincount(out, d, size) - np.bincount(into, d, size))
-        return g, float(r.sum())
-
-    x = np.random.default_rng(3).normal(size=size)  # the step, from a power iteration
-    lip = 1.0
-    for _ in range(20):
-        p = product(x)
-        x2 = 0.25 * np.bincount(cols, (share * p)[rows], size) * scale
-        if len(out):
-            d = times * ((scale * x)[out] - (scale * x)[into])
-            x2 += 2 * scale * (np.bincount(out, d, size) - np.bincount(into, d, size))
-        lip = float(np.linalg.norm(x2)) or 1.0
-        x = x2 / lip
-    step = 1 / (1.5 * lip + 0.25)
-    for _ in range(rounds):
-        g, gb = gradient(zw, zb)
-        new = zw - step * g
-        new = np.sign(new) * np.maximum(np.abs(new) - step * l1, 0)
-        nb = zb - step * gb
-        t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        zw, zb = new + (t - 1) / t2 * (new - w), nb + (t - 1) / t2 * (nb - b)
-        w, b, t = new, nb, t2
-    real = scale * w
-    return Model(b, {x: float(real[i]) for x, i in vocabulary.items() if abs(real[i]) > 1e-6})
+    counts = [Counter(x for b, v in zip(bags, y, strict=True) if v == k for x in b) for k in (0, 1)]
+    size = [n - sum(y), sum(y)]
+
+    def z(x: str) -> float:
+        p = (counts[0][x] + counts[1][x]) / n
+        return (counts[1][x] / size[1] - counts[0][x] / size[0]) / np.sqrt(max(1e-12, p * (1 - p) * (1 / size[0] + 1 / size[1])))
+
+    pairs: Counter[tuple[str, str]] = Counter(p for t in texts for p in swaps(t))
+    swapped = Counter()  # the features a swap takes out and puts in
+    for (a, b), k in pairs.items():
+        swapped[tuple(sorted(parts_of([a]) - parts_of([b]))), tuple(sorted(parts_of([b]) - parts_of([a])))] += k
+    rated = sorted(((abs(z(x)), x) for x in counts[0].keys() | counts[1].keys() if counts[0][x] + counts[1][x] >= least), reverse=True)
+    chosen = [x for v, x in rated[:MOST_FEATURES] if v >= LEAST_Z]
+    chosen += sorted({x for out, into in swapped for x in (*out, *into)} - set(chosen))
+
+    def matrices(features: list[str]):
+        number = {x: i for i, x in enumerate(features)}
+        hits = [(r, number[x]) for r, b in enumerate(bags) for x in sorted(b & number.keys())]
+        rows, cols = (np.array([h[k] for h in hits], np.int64) for k in (0, 1))
+        change = np.zeros((len(swapped), len(features)))
+        for i, ((out, into), k) in enumerate(swapped.items()):
+            scale = np.sqrt(penalty * k / sum(swapped.values()))
+            for group, sign in ((out, -scale), (into, scale)):
+                for x in group:
+                    if x in number:
+                        change[i, number[x]] += sign
+        return rows, cols, change
+
+    def solve(features: list[str], l1: float, ridge: float) -> tuple[np.ndarray, float]:
+        rows, cols, change = matrices(features)
+        m = len(features)
+        product = lambda u: np.bincount(rows, u[cols], n)
+        back = lambda r: np.bincount(cols, r[rows], m)
+        u, lip = np.random.default_rng(3).normal(size=m + 1), 1.0
+        for _ in range(30):  # the step, from a power iteration on the curvature's bound
+            r = 0.25 * share * (product(u[:m]) + u[m])
+            v = np.append(back(r) + 2 * change.T @ (change @ u[:m]) + ridge * u[:m], r.sum())
+            lip = float(np.linalg.norm(v)) or 1.0
+            u = v / lip
+        step = 1 / (1.1 * lip)
+        w = np.zeros(m + 1)
+        w[m] = np.log((share @ target) / (1 - share @ target))
+        q, t = w.copy(), 1.0
+        for _ in range(rounds):
+            r = share * (1 / (1 + np.exp(-np.clip(product(q[:m]) + q[m], -30, 30))) - target)
+            new = q - step * np.append(back(r) + 2 * change.T @ (change @ q[:m]) + ridge * q[:m], r.sum())
+            new[:m] = np.sign(new[:m]) * np.maximum(np.abs(new[:m]) - step * l1, 0)
+            t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
+            q, w, t = new + (t - 1) / t2 * (new - w), new, t2
+        return w[:m], float(w[m])
+
+    w, _ = solve(chosen, l1, 0.0)
+    kept = [x for x, v in zip(chosen, w, strict=True) if abs(v) > 1e-4]
+    w, bias = solve(kept, 0.0, ridge)
+    return Model(bias, {x: float(v) for x, v in zip(kept, w, strict=True) if abs(v) > 1e-6})
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5, held_out: int = 0, most: int = MOST) -> Model:
