@@ -3,8 +3,8 @@
 A sparse logistic model over the words a text holds and their beginnings (each
 counted once, so one insult counts in a text of any length). Training adds a penalty on score
 changes under counterfactuals: in each sentence of a labelled text that
-mentions an identity term, the term is swapped for the others of its group, and
-the squared change of the sentence's logit is penalised. Words of the model
+mentions an identity term, the term is swapped for the others of its group and
+for nothing, and the squared change of the sentence's logit is penalised. Words of the model
 come from at most MOST labelled texts outside the held-out fold (a documented
 bound); an L1 step keeps those that matter, so that scoring looks up whole
 words and needs no hashing.
@@ -81,16 +81,19 @@ class Model:
 
 
 def swaps(text: str) -> Iterator[tuple[str, str]]:
-    """(term, other) for each sentence and identity term in it: the words a counterfactual takes out and puts in."""
+    """(term, other) for each sentence and identity term in it: the words a counterfactual takes out and puts in.
+
+    The last swap of a term puts in nothing: a sentence with the term unsaid.
+    """
     for sentence in _SENTENCE.split(text):
         words = set(words_of(sentence))
         for term in sorted(words & GROUP.keys()):
-            for other in GROUP[term]:
+            for other in (*GROUP[term], ""):
                 if other not in words:
                     yield term, other
 
 
-def fit(texts: list[str], y: list[int], weight: list[float] | None = None, penalty: float = 20.0, l1: float = 1e-3, ridge: float = 1e-4, rounds: int = 500, least: int = LEAST_TEXTS) -> Model:
+def fit(texts: list[str], y: list[int], weight: list[float] | None = None, penalty: float = 2.0, l1: float = 1e-3, ridge: float = 1e-4, rounds: int = 1000, least: int = LEAST_TEXTS) -> Model:
     """Weighted logistic loss + penalty * mean squared logit change over the swaps.
 
     Features that differ between the classes are chosen first; FISTA with an L1
@@ -113,7 +116,8 @@ def fit(texts: list[str], y: list[int], weight: list[float] | None = None, penal
     pairs: Counter[tuple[str, str]] = Counter(p for t in texts for p in swaps(t))
     swapped = Counter()  # the features a swap takes out and puts in
     for (a, b), k in pairs.items():
-        swapped[tuple(sorted(parts_of([a]) - parts_of([b]))), tuple(sorted(parts_of([b]) - parts_of([a])))] += k
+        old, new = parts_of([a]), parts_of([b] if b else [])
+        swapped[tuple(sorted(old - new)), tuple(sorted(new - old))] += k
     rated = sorted(((abs(z(x)), x) for x in counts[0].keys() | counts[1].keys() if counts[0][x] + counts[1][x] >= least), reverse=True)
     chosen = [x for v, x in rated[:MOST_FEATURES] if v >= LEAST_Z]
     chosen += sorted({x for out, into in swapped for x in (*out, *into)} - set(chosen))
