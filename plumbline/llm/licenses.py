@@ -93,7 +93,7 @@ NORMAL = (
     (r"[.!?]+([ \t]|$)", " . "),
     (r"[^a-z0-9./+-]+", " "),
 )
-BOUNDARY, LINE = r"(?:^|\s)\.(?:\s|$)", r"(?:^|\s)/(?:\s|$)"
+BOUNDARY, LINE = r"(?:^|\s)\.(?:\s+\.)*(?:\s|$)", r"(?:^|\s)/(?:\s|$)"
 
 
 def _key(sentence: str) -> str:
