@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from plumbline.functions import fields
 from plumbline.functions.schema import require
 from plumbline.operators.joins import keep_first
+from plumbline.sources.scratch import materialize
 
 
 def order_key(seed: int, id_key: str = "review_id") -> Column:
@@ -92,7 +93,7 @@ def reserve(pool: DataFrame, chosen: DataFrame | None, mask: Column, need: int,
     if need <= 0:
         return chosen
     left = pool.where(mask) if chosen is None else pool.where(mask).join(chosen, id_key, "left_anti")
-    more = proportional_sample(left, keys, need, seed, id_key).select(id_key)
+    more = materialize(proportional_sample(left, keys, need, seed, id_key).select(id_key))
     return more if chosen is None else chosen.unionByName(more)
 
 
@@ -113,19 +114,18 @@ def prepared_pool(df: DataFrame, cfg: Sampler, as_of: float) -> DataFrame:
 def sample_ids(pool: DataFrame, cfg: Sampler) -> DataFrame:
     """review_id of the sample: floors, then popularity targets, then a proportional fill.
 
-    Each step needs the counts of the one before; the pool holds keys only and is kept.
+    Each step needs the one before, so the pool (keys and strata only) and the
+    ids chosen so far are written as they grow; plans stay short.
     """
-    pool = popularity(pool).persist()
+    pool = materialize(popularity(pool))
     if pool.count() <= cfg.target:
         return pool.select("review_id")
     chosen = None
     for flag in ("with_pics", "with_resp", "recent"):
         chosen = reserve(pool, chosen, F.col(flag), half_even(cfg.floors.get(flag, 0.0) * cfg.target), STRATA, cfg.seed)
-        chosen = chosen.persist() if chosen is not None else None
     for tier, share in cfg.popularity.items():
         have = 0 if chosen is None else pool.where(F.col("pop") == tier).join(chosen, "review_id", "left_semi").count()
         chosen = reserve(pool, chosen, F.col("pop") == tier, half_even(share * cfg.target) - have, STRATA, cfg.seed)
-        chosen = chosen.persist() if chosen is not None else None
     have = 0 if chosen is None else chosen.count()
     chosen = reserve(pool, chosen, F.lit(True), cfg.target - have, STRATA, cfg.seed)
     return random_sample(chosen, cfg.target, cfg.seed)
@@ -147,9 +147,9 @@ def sample_bucket(pool: DataFrame, flag: str, score: str | None, n: int, recent:
     if strong.isEmpty():
         return pool.orderBy(F.desc(score), "review_id").limit(n).select("review_id") if fallback and score else pool.limit(0).select("review_id")
     ids = lambda df, k: proportional_sample(df, GRID, k, seed, top_up=False).select("review_id")
-    first = ids(strong.where(recent), min(n, half_even(recent_share * n))).persist()
-    second = first.union(ids(strong.where(~recent), n - first.count())).persist()
-    third = second.union(random_sample(strong.join(second, "review_id", "left_anti"), n - second.count(), seed).select("review_id")).persist()
+    first = materialize(ids(strong.where(recent), min(n, half_even(recent_share * n))))
+    second = first.union(materialize(ids(strong.where(~recent), n - first.count())))
+    third = second.union(materialize(random_sample(strong.join(second, "review_id", "left_anti"), n - second.count(), seed).select("review_id")))
     missing = n - third.count()
     if missing > 0 and fallback and score:
         return third.union(pool.join(third, "review_id", "left_anti").orderBy(F.desc(score), "review_id").limit(missing).select("review_id"))
@@ -161,7 +161,9 @@ def gold_pack(rules: DataFrame, as_of: float, sizes: dict | None = None, seed: i
     require(rules, ["review_id", "rating", "length_bucket"])
     if {"gmap_id", "text"} <= set(rules.columns):
         rules = keep_first(rules, ["gmap_id", "text"], [F.col("review_id")])
-    pool = rules.where(F.col("rating").isin(*ratings) & F.col("length_bucket").isin(*lengths)).persist()
+    pool = rules.where(F.col("rating").isin(*ratings) & F.col("length_bucket").isin(*lengths))
+    used = {"review_id", "age_days", "time", *GRID, *export, *[c for f, s, _ in BUCKETS.values() for c in (f, s) if c]}
+    pool = materialize(pool.select(*[c for c in pool.columns if c in used]))
     recent = F.coalesce(F.col("age_days").between(-1 if missing_is_recent else 0, fields.RECENT_DAYS), F.lit(False)) if "age_days" in pool.columns else fields.is_recent(F.col("time"), as_of) if "time" in pool.columns else F.lit(False)
     ids = None
     for name, (flag, score, n) in BUCKETS.items():

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.fields import epoch_seconds, finite, number
 from plumbline.functions.schema import BINARY, require
 from plumbline.operators.joins import keep_first
+from plumbline.sources.scratch import materialize
 
 TINY = 4.9e-324
 #: Rule flags that stand in for sparse labels.
@@ -157,7 +158,8 @@ def split(df: DataFrame, cfg: Split = Split(), id_key: str = "review_id", text:
         held = holdout_groups(df, cfg.holdout_percent, cfg.group, missing_is_newest=cfg.missing_time_is_newest)
         rest = groups.join(held, cfg.group, "left_anti")
         placed = assign(rest, cfg.ratios, cfg.seed, cfg.group).unionByName(groups.join(held, cfg.group, "left_semi").withColumn("split", F.lit("test")))
-    table = placed.join(sums, placed[cfg.group].eqNullSafe(sums[cfg.group])).select(placed[cfg.group], "label", "split", *[f"{k}_bin" for k in labels]).persist()
+    table = placed.join(sums, placed[cfg.group].eqNullSafe(sums[cfg.group])).select(placed[cfg.group], "label", "split", *[f"{k}_bin" for k in labels])
+    table = materialize(table)
     table = rebalance(table, labels, cfg.min_per_split, cfg.seed, cfg.group).select(F.col(cfg.group).alias("__g"), F.col("label").alias("_grp_label"), F.col("split").alias("_split"))
     joined = df.join(table, df[cfg.group].eqNullSafe(table["__g"]), "left").drop("__g").withColumn("_split", F.coalesce("_split", F.lit("train")))
     return joined, joined.select(id_key, cfg.group, "_grp_label", "_split"), cut

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from plumbline.functions import fields, patterns, schema, text
 from plumbline.functions.schema import BINARY, CONTINUOUS
 from plumbline.operators import annotation, features, joins, labeling, metrics, modeling, policy, rules, sampling, splitting
+from plumbline.sources.scratch import materialize
 
 #: 2025-01-01 UTC, so that ages don't depend on the day.
 AS_OF = 1735689600
@@ -333,7 +334,7 @@ def full_sampler(spark, d):
     as_of = 999_000_000  # within the orders' years
     p = pool(spark, d)
     base = p.select("*", F.lit("some words").alias("text"))
-    picked = base.join(sampling.sample_ids(sampling.prepared_pool(base, cfg, as_of), cfg), "review_id", "left_semi")
+    picked = materialize(base.join(sampling.sample_ids(sampling.prepared_pool(base, cfg, as_of), cfg), "review_id", "left_semi"))
     by = lambda k: picked.groupBy(k).count().agg(F.coalesce(F.max("count"), F.lit(0)).alias("m"))
     caps = by("gmap_id").select(F.col("m").alias("a")).join(by("user_id").select(F.col("m").alias("b")))  # one row each
     recent = fields.is_recent(F.col("time"), as_of)
