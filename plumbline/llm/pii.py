@@ -26,10 +26,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import materialize
+from plumbline.llm.common import let, materialize
 
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = ("pattern", "gazetteer", "context", "contrary")
@@ -223,17 +223,14 @@ def detect(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     each = found.select(F.inline("spans"))
     counts = each.groupBy("kind", "votes", "features").agg(F.count(F.lit(1)).alias("n")).toPandas()  # at most 4 * 2 ** FEATURES rows
     model = train(counts.sort_values(["kind", "votes", "features"], ignore_index=True))
-    score = F.lit(0.0)
-    for kind, w in sorted(model.items()):
-        def logit(mask, w=w):
-            return sum((F.when(mask.bitwiseAND(F.lit(1 << i)) != 0, F.lit(x)).otherwise(F.lit(0.0)) for i, x in enumerate(w[:-1])), F.lit(w[-1]))
+    weights = F.create_map(*[x for kind, w in sorted(model.items()) for x in (F.lit(kind), F.array(*map(F.lit, w)))]) if model else None
 
-        def of(s, score=score, kind=kind, logit=logit):
-            return F.when(s["kind"] == kind, 1 / (1 + F.exp(-logit(s["features"])))).otherwise(score(s) if callable(score) else score)
+    def rated(s: Column) -> Column:
+        logit = lambda w: F.aggregate(F.sequence(F.lit(0), F.lit(FEATURES - 1)), F.get(w, F.lit(FEATURES)), lambda acc, i: acc + F.when(F.call_function("shiftright", s["features"], i).bitwiseAND(F.lit(1)) == 1, F.get(w, i)).otherwise(0.0))
+        score = 1 / (1 + F.exp(-let(F.try_element_at(weights, s["kind"]), logit))) if model else F.lit(0.0)
+        return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["base"].alias("base"), score.alias("score"))
 
-        score = of
-    rated = F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["base"].alias("base"), (score(s) if callable(score) else score).alias("score")))
-    return found.select("doc_id", F.filter(rated, lambda s: s["base"] | (s["score"] >= threshold)).alias("spans"))
+    return found.select("doc_id", F.filter(F.transform("spans", rated), lambda s: s["base"] | (s["score"] >= threshold)).alias("spans"))
 
 
 def joined(spans, kinds: tuple[str, ...]):
@@ -245,10 +242,12 @@ def joined(spans, kinds: tuple[str, ...]):
 
 def op3(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans."""
-    d = detect(docs)
-    base = F.filter("spans", lambda s: s["base"])
-    n = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    return d.select("doc_id", *[n(k) for k in KINDS], F.sha2(joined(base, KINDS), 256).alias("base_sha256"), joined(F.col("spans"), KINDS).alias("spans"))
+    def digest(spans: Column) -> Column:
+        base = F.filter(spans, lambda s: s["base"])
+        n = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        return F.struct(*map(n, KINDS), F.sha2(joined(base, KINDS), 256).alias("base_sha256"), joined(spans, KINDS).alias("spans"))
+
+    return detect(docs).select("doc_id", let(F.col("spans"), digest).alias("d")).select("doc_id", "d.*")
 
 
 def base_digest(text: str | None) -> str:
