@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -48,3 +49,29 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{scratch_root(spark)}/plumbline/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, key: str) -> tuple[DataFrame, callable]:
+    """df written once under scratch_root(), bucketed and sorted by key, so that later joins and groupings by key read it in place.
+
+    Also returns a function that drops the table and its files.
+    """
+    spark = df.sparkSession
+    name = f"plumbline_{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/plumbline/{name}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(name)
+
+    def drop() -> None:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        jvm = spark.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+    return spark.table(name), drop
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets Spark's cleaner delete the shuffle files of finished queries, which it does once the driver has collected their garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -12,8 +12,10 @@ similarity of 0.8 or more with it. Shorter lines always stay.
 3. The join: each class's words are ordered by rarity (a sketch of counts over
    all lines, then the word's hash, so that the order is total), and its prefix
    words are join keys. Size and positional filters drop pairs that can't reach
-   the threshold; pairs of two settled classes need no look. Survivors are
-   verified on the words themselves.
+   the threshold, as does a parity bitmap: each word flips one of 64 bits, so
+   two lines differ in at least as many words as their bitmaps differ in bits.
+   Pairs whose later class is settled need no look. Survivors are verified on
+   the words themselves.
 
 The order's hash has 57 bits; two words of one line that collide there could
 move that line's size by one, once in about 10^14 pairs of words.
@@ -30,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import WORD, let, text_of
+from plumbline.llm.common import WORD, bucketed, let, materialize, release_shuffles, text_of
 
 LEAST_WORDS = 5
 _S, _W = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
@@ -58,70 +60,87 @@ def rarity(docs: DataFrame) -> bytes:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """key and first (none, doc_id, text_hash, line_no, line): the first line of each class of equal lines."""
+    """key, none, doc_id, text_hash, line_no, line: the first line of each class of equal lines."""
     text = text_of(docs)
     lines = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(text, "\n")).alias("line_no", "line")).where(F.col("line").rlike(ELIGIBLE))
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "line_no", "line")
-    return lines.groupBy(_key(F.col("line")).alias("key")).agg(F.min(first).alias("first"))
+    return lines.groupBy(_key(F.col("line")).alias("key")).agg(F.min(first).alias("first")).select("key", "first.*")
 
 
 def verified(pairs: DataFrame, c: DataFrame) -> DataFrame:
-    """k1, k2, later (key): the pairs of classes with a similarity of 0.8 or more."""
-    a, b = (c.select(F.col("key").alias(f"k{i}"), F.col("first").alias(f"f{i}")) for i in (1, 2))
+    """later (key): of each pair of classes (k1, k2) with a similarity of 0.8 or more, the one whose first line comes later."""
+    place = ("none", "doc_id", "text_hash", "line_no")
+    a, b = (c.select(F.col("key").alias(f"k{i}"), F.struct(*place, "key").alias(f"at{i}"), F.col("line").alias(f"line{i}")) for i in (1, 2))
     both = pairs.join(a, "k1").join(b, "k2")
-    n = lambda w: F.size(w)
-    similar = let(_words(F.col("f1.line")), lambda x: let(_words(F.col("f2.line")), lambda y: 9 * F.size(F.array_intersect(x, y)) >= 4 * (n(x) + n(y))))
-    rank = lambda i: F.struct(*[F.col(f"f{i}.{x}") for x in ("none", "doc_id", "text_hash", "line_no")], F.col(f"k{i}"))
-    return both.where(similar).select("k1", "k2", F.when(rank(1) > rank(2), F.col("k1")).otherwise(F.col("k2")).alias("later"))
+    similar = let(_words(F.col("line1")), lambda x: let(_words(F.col("line2")), lambda y: 9 * F.size(F.array_intersect(x, y)) >= 4 * (F.size(x) + F.size(y))))
+    return both.where(similar).select(F.when(F.col("at1") > F.col("at2"), F.col("k1")).otherwise(F.col("k2")).alias("later"))
 
 
 def _settled(c: DataFrame) -> DataFrame:
-    """later: classes with a similar earlier class that shares their first or last words."""
-    head, tail = (F.xxhash64(F.lit(i), F.substring_index(F.lower("first.line"), " ", LEAST_WORDS * (1 - 2 * i))) for i in (0, 1))
-    rows = c.select("key", "first.none", "first.doc_id", "first.text_hash", "first.line_no", F.explode(F.array(head, tail)).alias("sig"))
-    lead = rows.groupBy("sig").agg(F.min(F.struct("none", "doc_id", "text_hash", "line_no", "key")).alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    """key: classes with a similar earlier class that shares their first or last words."""
+    head, tail = (F.hash(F.lit(i), F.substring_index(F.lower("line"), " ", LEAST_WORDS * (1 - 2 * i))) for i in (0, 1))
+    # Which class of a group is tried only steers the work, so the order may be coarse.
+    rows = c.select("key", "at", F.explode(F.array(head, tail)).alias("sig"))
+    lead = rows.groupBy("sig").agg(F.min(F.struct("at", "key")).alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
     pairs = rows.join(lead, "sig").where("key <> lead.key").select(F.col("key").alias("k1"), F.col("lead.key").alias("k2")).distinct()
-    return verified(pairs, c).select("later").distinct()
+    return verified(pairs, c).select(F.col("later").alias("key")).distinct()
 
 
 def prefixes(c: DataFrame, sketch: bytes) -> DataFrame:
-    """token, key, n (words of the line), pos (the token's place by rarity) and settled, for the prefix of each class."""
+    """token, key, at (order by document), n (words of the line), pos (the token's place by rarity), parity and settled, for the prefix of each class."""
 
-    def code(w: Column) -> Column:
-        h = F.xxhash64(w)
-        level = F.ascii(F.substring(F.lit(sketch), (h.bitwiseAND(F.lit(SKETCH - 1).cast("long")) + 1).cast("int"), 1).cast("string"))
-        return F.shiftleft(level.cast("long"), HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1).cast("long")))
+    # The level of each hash bucket in the high bits, folded into one literal array.
+    levels = F.split(F.lit(",".join(str(x << HASH_BITS) for x in sketch)), ",").cast("array<bigint>")
+    code = lambda h: F.get(levels, h.bitwiseAND(F.lit(SKETCH - 1).cast("long")).cast("int")).bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1).cast("long")))
+    flip = lambda acc, x: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63).cast("long")).cast("int")))
 
-    bags = c.select("key", "settled", F.sort_array(F.array_distinct(F.transform(_words(F.col("first.line")), code))).alias("codes"))
-    n = F.size("codes")
-    # A similar line shares at least ceil(0.8 n) words, so one of the first n - ceil(0.8 n) + 1.
-    head = F.slice("codes", 1, n - F.ceil(4 * n / 5).cast("int") + 1)
-    return bags.select("key", "settled", n.alias("n"), F.posexplode(head).alias("pos", "token"))
+    def bag(codes: Column) -> Column:
+        n = F.size(codes)
+        # A similar line shares at least ceil(0.8 n) words, so one of the first n - ceil(0.8 n) + 1.
+        head = F.slice(codes, 1, n - F.ceil(4 * n / 5).cast("int") + 1)
+        # As join keys, 32 bits of each code do: a collision costs a look at a pair.
+        return F.struct(n.alias("n"), F.aggregate(codes, F.lit(0).cast("long"), flip).alias("parity"), F.transform(head, lambda x: F.hash(x)).alias("head"))
+
+    words = F.regexp_extract_all(F.lower("line"), F.lit(WORD), F.lit(0))
+    codes = F.transform(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))), code)
+    bags = c.select("key", "at", "settled", let(F.sort_array(codes), bag).alias("bag"))
+    return bags.select("key", "at", "settled", "bag.n", "bag.parity", F.posexplode("bag.head").alias("pos", "token"))
 
 
 def _joined(p: DataFrame) -> DataFrame:
-    """k1 < k2: pairs of classes that pass the prefix, size and positional filters."""
+    """k1 < k2: pairs of classes that pass the prefix, size, positional and parity filters."""
     packed = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.shiftleft(F.col("pos").cast("long"), 1)).bitwiseOR(F.col("settled").cast("long"))
-    rows = p.select("token", "key", packed.alias("x"))
+    rows = p.select("token", "key", "at", "parity", packed.alias("x"))
     a, b = rows.alias("a"), rows.alias("b")
     n = {s: F.shiftrightunsigned(f"{s}.x", 32) for s in "ab"}
     rest = {s: n[s] - F.shiftright(f"{s}.x", 1).bitwiseAND(F.lit((1 << 31) - 1).cast("long")) for s in "ab"}
-    open_ = F.col("a.x").bitwiseAND(F.col("b.x")).bitwiseAND(F.lit(1).cast("long")) == 0
+    settled = {s: F.col(f"{s}.x").bitwiseAND(F.lit(1).cast("long")) == 1 for s in "ab"}
+    # A pair decides the later line only, so it is open if that one isn't settled.
+    open_ = (~settled["a"] & (F.col("a.at") >= F.col("b.at"))) | (~settled["b"] & (F.col("b.at") >= F.col("a.at")))
+    near = 9 * F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity"))) <= n["a"] + n["b"]
     # At the first word they share, both lines must have as many words left as the overlap needs.
-    near = (9 * F.least(rest["a"], rest["b"]) >= 4 * (n["a"] + n["b"])) & (5 * F.least(n["a"], n["b"]) >= 4 * F.greatest(n["a"], n["b"]))
+    near &= (9 * F.least(rest["a"], rest["b"]) >= 4 * (n["a"] + n["b"])) & (5 * F.least(n["a"], n["b"]) >= 4 * F.greatest(n["a"], n["b"]))
     pairs = a.hint("merge").join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.key") < F.col("b.key")) & open_ & near)
     return pairs.select(F.col("a.key").alias("k1"), F.col("b.key").alias("k2")).distinct()
 
 
 def kept_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash and kept (array of line_no, key): the lines of LEAST_WORDS words or more that stay."""
+    """doc_id, text_hash and kept (array of line_no, key): the lines of LEAST_WORDS words or more that stay.
+
+    The classes are a table bucketed by key, which all joins by key read in
+    place; it is dropped at the end.
+    """
     sketch = rarity(docs)
-    c = classes(docs)
-    settled = _settled(c).select(F.col("later").alias("key"), F.lit(True).alias("settled"))
-    marked = c.join(settled, "key", "left").select("key", "first", F.coalesce("settled", F.lit(False)).alias("settled"))
-    found = verified(_joined(prefixes(marked, sketch)), c).select(F.col("later").alias("key")).distinct()
-    stay = marked.where("NOT settled").join(found, "key", "left_anti")
-    return stay.groupBy("first.doc_id", "first.text_hash").agg(F.collect_list(F.struct("first.line_no", "key")).alias("kept"))
+    c, drop = bucketed(classes(docs).withColumn("at", F.coalesce("doc_id", F.lit((1 << 63) - 1))), "key")
+    release_shuffles(docs.sparkSession)
+    settled = materialize(_settled(c)).withColumn("settled", F.lit(True))
+    marked = c.join(settled, "key", "left").withColumn("settled", F.coalesce("settled", F.lit(False)))
+    found = materialize(verified(_joined(prefixes(marked, sketch)), c).select(F.col("later").alias("key")).distinct())
+    stay = c.select("key", "doc_id", "text_hash", "line_no").join(settled, "key", "left_anti").join(found, "key", "left_anti")
+    kept = materialize(stay.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("line_no", "key")).alias("kept")))
+    drop()
+    release_shuffles(docs.sparkSession)
+    return kept
 
 
 def _with_kept(docs: DataFrame, columns: list[Column]) -> DataFrame:
