@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,21 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes inside go as soon as each write ends; what it wrote stands for them from there on."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """df, written once as Parquet under scratch_root() and read again.
 
@@ -47,7 +63,8 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/plumbline/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with tidy(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -60,7 +77,8 @@ def bucketed(df: DataFrame, key: str) -> tuple[DataFrame, callable]:
     name = f"plumbline_{uuid.uuid4().hex}"
     path = f"{scratch_root(spark)}/plumbline/{name}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.format("parquet").bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(name)
+    with tidy(spark):
+        df.write.format("parquet").bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(name)
 
     def drop() -> None:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
@@ -69,9 +87,3 @@ def bucketed(df: DataFrame, key: str) -> tuple[DataFrame, callable]:
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
     return spark.table(name), drop
-
-
-def release_shuffles(spark: SparkSession) -> None:
-    """Lets Spark's cleaner delete the shuffle files of finished queries, which it does once the driver has collected their garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()

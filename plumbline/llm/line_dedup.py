@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import WORD, bucketed, let, materialize, release_shuffles, text_of
+from plumbline.llm.common import WORD, bucketed, let, materialize, text_of
 
 LEAST_WORDS = 5
 _S, _W = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
@@ -132,14 +132,12 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     """
     sketch = rarity(docs)
     c, drop = bucketed(classes(docs).withColumn("at", F.coalesce("doc_id", F.lit((1 << 63) - 1))), "key")
-    release_shuffles(docs.sparkSession)
     settled = materialize(_settled(c)).withColumn("settled", F.lit(True))
     marked = c.join(settled, "key", "left").withColumn("settled", F.coalesce("settled", F.lit(False)))
     found = materialize(verified(_joined(prefixes(marked, sketch)), c).select(F.col("later").alias("key")).distinct())
     stay = c.select("key", "doc_id", "text_hash", "line_no").join(settled, "key", "left_anti").join(found, "key", "left_anti")
     kept = materialize(stay.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("line_no", "key")).alias("kept")))
     drop()
-    release_shuffles(docs.sparkSession)
     return kept
 
 
