@@ -68,10 +68,14 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, c: DataFrame) -> DataFrame:
-    """later (key): of each pair of classes (k1, k2) with a similarity of 0.8 or more, the one whose first line comes later."""
+    """later (key): of each pair of classes (k1, k2) with a similarity of 0.8 or more, the one whose first line comes later.
+
+    The pairs are written first, so that the shuffles that found them are gone
+    before lines are shuffled.
+    """
     place = ("none", "doc_id", "text_hash", "line_no")
     a, b = (c.select(F.col("key").alias(f"k{i}"), F.struct(*place, "key").alias(f"at{i}"), F.col("line").alias(f"line{i}")) for i in (1, 2))
-    both = pairs.join(a, "k1").join(b, "k2")
+    both = materialize(pairs).join(a, "k1").join(b, "k2")
     similar = let(_words(F.col("line1")), lambda x: let(_words(F.col("line2")), lambda y: 9 * F.size(F.array_intersect(x, y)) >= 4 * (F.size(x) + F.size(y))))
     return both.where(similar).select(F.when(F.col("at1") > F.col("at2"), F.col("k1")).otherwise(F.col("k2")).alias("later"))
 
