@@ -1,8 +1,8 @@
 """Line deduplication by an exact set-similarity join (operator 10, native).
 
-Lines of at least LEAST_WORDS words are compared as sets of lower-case words; a
-line is removed if an earlier line (by doc_id, then line number) has a Jaccard
-similarity of 0.8 or more with it. Shorter lines always stay.
+All lines with a word in them, however short, are compared as sets of lower-case
+words; a line is removed if an earlier line (by doc_id, then line number) has a
+Jaccard similarity of 0.8 or more with it. Blank lines always stay.
 
 1. Equal lines form a class, of which only the first line goes on.
 2. Classes that share their first or last five words with an earlier class are
@@ -34,9 +34,10 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.common import WORD, bucketed, let, materialize, text_of
 
-LEAST_WORDS = 5
-_S, _W = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
-ELIGIBLE = rf"^{_S}*+(?:{_W}++{_S}++){{{LEAST_WORDS - 1}}}+{_W}"
+#: Words at a line's start or end by which dense groups are tried first.
+ENDS = 5
+#: A line that isn't blank.
+ELIGIBLE = r"[^\x20\x09-\x0D]"
 SKETCH = 1 << 14
 HASH_BITS = 57
 
@@ -82,7 +83,7 @@ def verified(pairs: DataFrame, c: DataFrame) -> DataFrame:
 
 def _settled(c: DataFrame) -> DataFrame:
     """key: classes with a similar earlier class that shares their first or last words."""
-    head, tail = (F.hash(F.lit(i), F.substring_index(F.lower("line"), " ", LEAST_WORDS * (1 - 2 * i))) for i in (0, 1))
+    head, tail = (F.hash(F.lit(i), F.substring_index(F.lower("line"), " ", ENDS * (1 - 2 * i))) for i in (0, 1))
     # Which class of a group is tried only steers the work, so the order may be coarse.
     rows = c.select("key", "at", F.explode(F.array(head, tail)).alias("sig"))
     lead = rows.groupBy("sig").agg(F.min(F.struct("at", "key")).alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -129,7 +130,7 @@ def _joined(p: DataFrame) -> DataFrame:
 
 
 def kept_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash and kept (array of line_no, key): the lines of LEAST_WORDS words or more that stay.
+    """doc_id, text_hash and kept (array of line_no, key): the lines with a word in them that stay.
 
     The classes are a table bucketed by key, which all joins by key read in
     place; it is dropped at the end.
