@@ -190,7 +190,7 @@ _RULES = rf"""f AS (SELECT review_id, gmap_id, {TOKENS} AS tok, text, category,
   (CAST(len(tok) <= 8 AS INTEGER) + CAST(punct_runs >= 1 AS INTEGER) + CAST(dup >= 2 AS INTEGER)) / 6.0 AS spam FROM f)
 SELECT review_id, round(CAST(ads AS DOUBLE), 9) AS rule_ads_score, round(CAST(spam AS DOUBLE), 9) AS short_punct_dup_score FROM s""")
 def rules_scores(spark, d):
-    """The rule scores, on the signals that the oracle's dialect can state."""
+    """The rule scores, on the signals that the oracle's dialect can state; on all signals: rules_scores_whole."""
     r = reviews(spark, d)
     f = features.features(r, AS_OF, groups=("text_form", "ad_promo", "aggregates"))
     known = ("has_phone_any", "has_email", "has_phone_us")
@@ -204,7 +204,7 @@ def rules_scores(spark, d):
 SELECT gmap_id, count(*) AS n, CAST(sum(CAST(ads >= 0.15 AS INTEGER)) AS BIGINT) AS ads, CAST(sum(CAST(spam >= 0.3 AS INTEGER)) AS BIGINT) AS spam,
   CAST(sum(CAST(ads < 0.15 AND spam < 0.3 AS INTEGER)) AS BIGINT) AS none FROM s GROUP BY gmap_id""")
 def rules_by_place(spark, d):
-    """Flagged reviews of each place, with cutoffs low enough for the tables to have some."""
+    """Flagged reviews of each place on the oracle's signals only (all: rules_by_place_whole), with cutoffs low enough for the tables to have some."""
     f = features.features(reviews(spark, d), AS_OF, groups=("text_form", "ad_promo", "aggregates"))
     known = ("has_phone_any", "has_email", "has_phone_us")
     f = f.withColumns({c: F.lit(False) for c in patterns.FLAGS if c not in known} | {"promo_hits": F.lit(0), "contact_hits": F.lit(0), "emoji_count": F.lit(0), "elong_runs": F.lit(0)})
@@ -213,6 +213,24 @@ def rules_by_place(spark, d):
     return scored.groupBy("gmap_id").agg(F.count(F.lit(1)).alias("n"), total("rule_ads_strong").alias("ads"), total("rule_spam_strong").alias("spam"), total("rule_none").alias("none"))
 
 
+def _ruled(spark, d) -> DataFrame:
+    """All groups of features and the rules on all of their signals, unchanged."""
+    return rules.rules(features.features(reviews(spark, d), AS_OF, carry=(*features.CARRY, "category")))
+
+
+@query()
+def rules_scores_whole(spark, d):
+    """The four rule scores, strong flags and rule_none on all signals; DuckDB can't state some of the patterns."""
+    return rounded(_ruled(spark, d).select("review_id", *[f"rule_{k}_score" for k in rules.STRONG], *[f"rule_{k}_strong" for k in rules.STRONG], "rule_none"))
+
+
+@query()
+def rules_by_place_whole(spark, d):
+    """Flagged reviews of each place, on all signals and with the rules' own cutoffs."""
+    total = lambda c: F.sum(F.col(c).cast("long"))
+    return _ruled(spark, d).groupBy("gmap_id").agg(F.count(F.lit(1)).alias("n"), *[total(f"rule_{k}_strong").alias(k) for k in rules.STRONG], total("rule_none").alias("none"))
+
+
 @query(f"""WITH {R} SELECT review_id, rating, category, CAST(length(text) AS BIGINT) AS char_len, CAST(0 AS BIGINT) AS pic_count, false AS with_resp FROM reviews""")
 def feature_stage(spark, d):
     """All eight groups in one plan; the columns here are those without a counterpart elsewhere in this catalogue."""
