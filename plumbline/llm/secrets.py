@@ -5,8 +5,11 @@ encoding alphabet is a candidate, its encoding is inferred, and three tests
 look at its symbols' values: chi-squared uniformity over the alphabet, runs
 about the alphabet's middle, and serial correlation at lag 1. A random string
 passes runs and serial tests; and its chi-squared is far below what ordinary
-text over that alphabet gives. The latter is a p-value under "ordinary text",
-which falls with length, so short tokens rarely pass. Benjamini-Hochberg over
+text over that alphabet gives. In alphabets of letters and digits whose tokens
+are in one case, it also changes between letters and digits far more often than
+ordinary tokens, whose digits stand together. Both are z scores under "ordinary
+text", taken together by their sum over its deviation (Stouffer), and fall with
+length, so short tokens pass less often. Benjamini-Hochberg over
 all candidates, in strata of encoding and length, holds the share of false
 discoveries at FDR; it needs only counts by stratum and p-value bin, a table of
 fixed size.
@@ -38,13 +41,13 @@ BASE = ASSIGN + r"|AKIA[A-Z0-9]{16}|(?<![0-9a-f])[0-9a-f]{24}"
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 FDR = 0.01
 ALPHA = 0.001
-#: Encodings in order of inference: name, pattern, alphabet and the repeat rate (sum of squared symbol frequencies) of ordinary text in it.
+#: Encodings in order of inference: name, pattern, alphabet, and of ordinary text in it the repeat rate (sum of squared symbol frequencies) and the rate of changes between letters and digits, 0 where it isn't looked at.
 ENCODINGS = (
-    ("hex", r"^(?:[0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef", 0.10),
-    ("lower", r"^[a-z]+$", "abcdefghijklmnopqrstuvwxyz", 0.065),
-    ("base32", r"^[A-Z2-7]+=*$", "abcdefghijklmnopqrstuvwxyz234567", 0.065),
-    ("base36", r"^(?:[a-z0-9]+|[A-Z0-9]+)$", "0123456789abcdefghijklmnopqrstuvwxyz", 0.060),
-    ("base64", r"^[A-Za-z0-9+/_=-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 0.060),
+    ("hex", r"^(?:[0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef", 0.10, 0.15),
+    ("lower", r"^[a-z]+$", "abcdefghijklmnopqrstuvwxyz", 0.065, 0.0),
+    ("base32", r"^[A-Z2-7]+=*$", "abcdefghijklmnopqrstuvwxyz234567", 0.065, 0.05),
+    ("base36", r"^(?:[a-z0-9]+|[A-Z0-9]+)$", "0123456789abcdefghijklmnopqrstuvwxyz", 0.060, 0.10),
+    ("base64", r"^[A-Za-z0-9+/_=-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 0.060, 0.0),
 )
 STRATA = (24, 32, 48, 64, 128)
 BINS = 400
@@ -87,14 +90,15 @@ def _normal(z: Column) -> Column:
 
 
 def _battery(value: Column) -> Column:
-    """encoding, n, z_text (chi-squared against ordinary text), z_runs, z_serial of one candidate."""
+    """encoding, n, z_text (chi-squared and letter-digit changes against ordinary text), z_runs, z_serial of one candidate."""
     which = reduce(lambda rest, i: F.when(value.rlike(ENCODINGS[i][1]), F.lit(i)).otherwise(rest), reversed(range(len(ENCODINGS))), F.lit(len(ENCODINGS) - 1))
     pick = lambda i, k: F.element_at(F.array(*[F.lit(e[k] if k else e[0]) for e in ENCODINGS]), (i + 1).cast("int"))
     symbols = F.regexp_replace(value, "=+$", "")
 
     def tests(i: Column) -> Column:
         folded = F.translate(F.when(i < 4, F.lower(symbols)).otherwise(symbols), "_-", "/+")
-        values = F.transform(F.split(folded, ""), lambda c: (F.instr(pick(i, 2), c) - 1).cast("double"))
+        pieces = F.split(folded, "")
+        values = F.transform(pieces, lambda c: (F.instr(pick(i, 2), c) - 1).cast("double"))
 
         def of(v: Column) -> Column:
             n, k = F.size(v).cast("double"), F.length(pick(i, 2)).cast("double")
@@ -103,6 +107,11 @@ def _battery(value: Column) -> Column:
             chi = squares * k / n - n
             excess = k * pick(i, 3) - 1
             z_text = (chi - (k - 1) - n * excess) / F.sqrt(2 * (k - 1) + 4 * n * excess)
+            # Square roots of a count keep the upper tail of few changes below a normal one's.
+            digit = lambda j: F.get(pieces, j).rlike("[0-9]")
+            changes = F.size(F.filter(F.sequence(F.lit(1), F.greatest(F.size(v) - 1, F.lit(1))), lambda j: digit(j) != digit(j - 1))).cast("double")
+            z_change = 2 * (F.sqrt(changes) - F.sqrt((n - 1) * pick(i, 4)))
+            z_text = F.when(pick(i, 4) > 0, (z_text - z_change) / F.sqrt(F.lit(2.0))).otherwise(z_text)
             z_random = (chi - (k - 1)) / F.sqrt(2 * (k - 1))
             high = F.size(F.filter(v, lambda x: x >= k / 2)).cast("double")
             low = n - high
