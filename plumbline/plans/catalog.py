@@ -238,6 +238,12 @@ def feature_stage(spark, d):
     return f.select("review_id", "rating", "category", "char_len", "pic_count", "with_resp")
 
 
+@query()
+def feature_stage_whole(spark, d):
+    """All columns of all eight groups in one plan; feature_stage has those of its SQL only."""
+    return features.features(reviews(spark, d), AS_OF, carry=(*features.CARRY, "category"))
+
+
 # --- joins, dedup ----------------------------------------------------------------------------------
 
 
@@ -577,8 +583,9 @@ def substring_search(spark, d):
 
 @query()
 def json_extract(spark, d):
-    """JSON found in answers with prose, fences and a trailing comma around it."""
-    answer = F.concat(F.lit("Sure: ```json\n{'k': "), F.col("conv_id").cast("string"), F.lit(",}\n``` done"))
+    """The texts as JSON, found in answers with prose, fences and a trailing comma around it."""
+    said = F.to_json(F.struct(F.coalesce(F.col("text"), F.lit("")).alias("k")))
+    answer = F.concat(F.lit("Sure: ```json\n"), F.regexp_replace(said, r"\}$", ",}"), F.lit("\n``` done"))
     return table(spark, d, "conversations").select("conv_id", "turn", labeling.extract_json(answer).alias("json"))
 
 
