@@ -78,7 +78,7 @@ def bucketed(df: DataFrame, key: str) -> tuple[DataFrame, callable]:
     path = f"{scratch_root(spark)}/plumbline/{name}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     with tidy(spark):
-        df.write.format("parquet").bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(name)
+        df.write.format("parquet").option("parquet.dictionary.page.size", str(8 << 20)).bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(name)
 
     def drop() -> None:
         spark.sql(f"DROP TABLE IF EXISTS {name}")

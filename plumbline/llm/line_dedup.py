@@ -4,21 +4,26 @@ All lines with a word in them, however short, are compared as sets of lower-case
 words; a line is removed if an earlier line (by doc_id, then line number) has a
 Jaccard similarity of 0.8 or more with it. Blank lines always stay.
 
-1. Equal lines form a class, of which only the first line goes on.
+1. Equal lines form a class, of which only the first line goes on. A class is
+   named by a 64-bit hash of its line; a second, independent one tells unequal
+   lines of one name apart, and these are named anew by both, so unequal lines
+   are never taken as equal (but for 128 equal bits). A class's distinct words
+   are written once, as 64-bit hashes; all later steps read those.
 2. Classes that share their first or last five words with an earlier class are
    verified against the earliest such class only. That settles dense groups of
    variants with a number of pairs linear in their size. It decides nothing
    else: what it leaves open is found by the join.
 3. The join: each class's words are ordered by rarity (a sketch of counts over
-   all lines, then the word's hash, so that the order is total), and its prefix
-   words are join keys. Size and positional filters drop pairs that can't reach
-   the threshold, as does a parity bitmap: each word flips one of 64 bits, so
-   two lines differ in at least as many words as their bitmaps differ in bits.
-   Pairs whose later class is settled need no look. Survivors are verified on
-   the words themselves.
+   all classes, then the word's hash, so that the order is total), and its
+   prefix words are join keys. A word that occurs once in all classes is no key,
+   since no other line has it. Size and positional filters drop pairs that can't
+   reach the threshold, as does a parity bitmap: each word flips one of 64 bits,
+   so two lines differ in at least as many words as their bitmaps differ in bits.
+   Pairs of which both classes are settled need no look. Survivors are verified
+   on all words of both lines, which are fetched for survivors only.
 
-The order's hash has 57 bits; two words of one line that collide there could
-move that line's size by one, once in about 10^14 pairs of words.
+Words are compared by their hashes: two words of a pair of lines of 50 words
+that collide in 57 bits are met once in about 10^13 pairs.
 
 Edge cases: a null text has no lines and stays null; a text of which all lines
 go becomes empty, its row stays. A null doc_id comes after all others. Of rows
@@ -29,151 +34,167 @@ input, empty output; other columns don't matter.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import WORD, bucketed, let, materialize, text_of
+from plumbline.llm.common import bucketed, let, materialize, text_of
 
 #: Words at a line's start or end by which dense groups are tried first.
 ENDS = 5
 #: A line that isn't blank.
 ELIGIBLE = r"[^\x20\x09-\x0D]"
-SKETCH = 1 << 14
-HASH_BITS = 57
+#: The sketch's slots, and how many of them make a page of it.
+SKETCH, PAGE = 1 << 20, 1 << 10
+HASH_BITS = 56
+#: A first line's place in the order of lines.
+PLACE = ["none", "doc_id", "text_hash", "line_no"]
 
 
-def _key(line: Column) -> Column:
-    return F.xxhash64(F.lower(line))
+def _names(line: Column) -> tuple[Column, Column]:
+    """Two independent hashes of a line."""
+    low = F.lower(line)
+    return F.xxhash64(low), F.xxhash64(F.lit("second"), low)
 
 
 def _words(line: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(F.lower(line), F.lit(WORD), F.lit(0)))
+    """The hashes of a line's distinct words, in order of appearance."""
+    spaced = reduce(lambda x, c: F.replace(x, F.lit(c), F.lit(" ")), "\t\n\x0b\x0c\r", F.lower(line))
+    return F.array_distinct(F.transform(F.array_remove(F.split(spaced, " "), ""), lambda w: F.xxhash64(w)))
 
 
-def rarity(docs: DataFrame) -> bytes:
-    """A byte for each of SKETCH hash buckets of words: 1.5 * log2 of the bucket's count in all texts, 63 at most."""
-    slot = F.xxhash64("w").bitwiseAND(F.lit(SKETCH - 1).cast("long"))
-    words = docs.select(F.explode(F.regexp_extract_all(F.lower(text_of(docs)), F.lit(WORD), F.lit(0))).alias("w"))
-    sketch = bytearray(SKETCH)
-    for slot_, n in words.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n")).select("slot", F.least(F.lit(63), F.floor(1.5 * F.log2(F.col("n") + 1))).cast("int")).collect():  # SKETCH rows
-        sketch[slot_] = n
-    return bytes(sketch)
+def _lines(docs: DataFrame) -> DataFrame:
+    text = text_of(docs)
+    # posexplode_outer, since for posexplode Spark would split every text once more, to see that it has lines.
+    lines = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.posexplode_outer(F.split(text, "\n")).alias("line_no", "line")).where(F.col("line").rlike(ELIGIBLE))
+    key, second = _names(F.col("line"))
+    return lines.select(key.alias("key"), second.alias("second"), F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "line_no", "line").alias("at"))
+
+
+def classes(docs: DataFrame) -> tuple[DataFrame, callable]:
+    """key, PLACE and words of the first line of each class of equal lines: a table bucketed by key, and a function that drops it."""
+    firsts = lambda rows, *by: rows.groupBy(*by).agg(F.min("at").alias("first"), (F.min("second") != F.max("second")).alias("clash"))
+    own = lambda c: c.select("key", *[f"first.{x}" for x in PLACE], _words(F.col("first.line")).alias("words"), "clash")
+    c, drop = bucketed(own(firsts(_lines(docs), "key")), "key")
+    clashes = c.where("clash").select("key")
+    if clashes.isEmpty():
+        return c, drop
+    # About n^2 / 2^65 names of n lines have unequal lines; their lines are named by both hashes.
+    anew = _lines(docs).join(clashes, "key", "left_semi").withColumn("key", F.xxhash64("key", "second"))
+    whole, drop_whole = bucketed(c.where("NOT clash").unionByName(own(firsts(anew, "key"))), "key")
+    drop()
+    return whole, drop_whole
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """key, none, doc_id, text_hash, line_no, line: the first line of each class of equal lines."""
-    text = text_of(docs)
-    lines = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(text, "\n")).alias("line_no", "line")).where(F.col("line").rlike(ELIGIBLE))
-    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "line_no", "line")
-    return lines.groupBy(_key(F.col("line")).alias("key")).agg(F.min(first).alias("first")).select("key", "first.*")
+def rarity(c: DataFrame) -> bytes:
+    """A byte for each of SKETCH hash buckets of words: 32 + 3 * log2 of the bucket's count in all classes, 126 at most.
+
+    Counts are summed by bucket; buckets are then gathered in pages of fixed size.
+    """
+    slots = c.sparkSession.range(SKETCH).select(F.col("id").alias("slot"), F.lit(0).cast("long").alias("n"))
+    counted = c.select(F.explode("words").alias("w")).groupBy(F.col("w").bitwiseAND(F.lit(SKETCH - 1)).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    level = F.least(F.lit(94), F.floor(3 * F.log2(F.greatest(F.sum("n"), F.lit(1))))).cast("long")
+    dense = counted.union(slots).groupBy("slot").agg(level.alias("level"))
+    pages = dense.groupBy(F.floor(F.col("slot") / PAGE).alias("page")).agg(F.sort_array(F.collect_list(F.col("slot") * 128 + F.col("level"))).alias("x"))
+    text = F.array_join(F.transform("x", lambda x: F.chr(x % 128 + 32)), "")
+    return "".join(r["s"] for r in pages.select("page", text.alias("s")).orderBy("page").collect()).encode()  # SKETCH bytes
 
 
 def verified(pairs: DataFrame, c: DataFrame) -> DataFrame:
-    """later (key): of each pair of classes (k1, k2) with a similarity of 0.8 or more, the one whose first line comes later.
+    """key of the later class of each pair (k1, k2) with a similarity of 0.8 or more.
 
     The pairs are written first, so that the shuffles that found them are gone
-    before lines are shuffled.
+    before words are shuffled.
     """
-    place = ("none", "doc_id", "text_hash", "line_no")
-    a, b = (c.select(F.col("key").alias(f"k{i}"), F.struct(*place, "key").alias(f"at{i}"), F.col("line").alias(f"line{i}")) for i in (1, 2))
-    both = materialize(pairs).join(a, "k1").join(b, "k2")
-    similar = let(_words(F.col("line1")), lambda x: let(_words(F.col("line2")), lambda y: 9 * F.size(F.array_intersect(x, y)) >= 4 * (F.size(x) + F.size(y))))
-    return both.where(similar).select(F.when(F.col("at1") > F.col("at2"), F.col("k1")).otherwise(F.col("k2")).alias("later"))
+    both = materialize(pairs)
+    for i in (1, 2):
+        both = both.join(c.select(F.col("key").alias(f"k{i}"), F.struct(*PLACE, "key").alias(f"at{i}"), F.col("words").alias(f"words{i}")), f"k{i}")
+    similar = 9 * F.size(F.array_intersect("words1", "words2")) >= 4 * (F.size("words1") + F.size("words2"))
+    return both.where(similar).select(F.greatest("at1", "at2")["key"].alias("key")).distinct()
 
 
 def _settled(c: DataFrame) -> DataFrame:
-    """key: classes with a similar earlier class that shares their first or last words."""
-    head, tail = (F.hash(F.lit(i), F.substring_index(F.lower("line"), " ", ENDS * (1 - 2 * i))) for i in (0, 1))
+    """key of classes with a similar earlier class that shares their first or last words."""
+    head, tail = F.xxhash64(F.lit(0), F.slice("words", 1, ENDS)), F.xxhash64(F.lit(1), F.slice("words", -F.least(F.size("words"), F.lit(ENDS)), ENDS))
     # Which class of a group is tried only steers the work, so the order may be coarse.
-    rows = c.select("key", "at", F.explode(F.array(head, tail)).alias("sig"))
+    at = F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("at")
+    rows = c.select("key", at, F.explode(F.array(head, tail)).alias("sig"))
     lead = rows.groupBy("sig").agg(F.min(F.struct("at", "key")).alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = rows.join(lead, "sig").where("key <> lead.key").select(F.col("key").alias("k1"), F.col("lead.key").alias("k2")).distinct()
-    return verified(pairs, c).select(F.col("later").alias("key")).distinct()
+    return verified(rows.join(lead, "sig").where("key <> lead.key").select(F.col("key").alias("k1"), F.col("lead.key").alias("k2")).distinct(), c)
 
 
 def prefixes(c: DataFrame, sketch: bytes) -> DataFrame:
-    """token, key, at (order by document), n (words of the line), pos (the token's place by rarity), parity and settled, for the prefix of each class."""
-
-    # The level of each hash bucket in the high bits, folded into one literal array.
-    levels = F.split(F.lit(",".join(str(x << HASH_BITS) for x in sketch)), ",").cast("array<bigint>")
-    code = lambda h: F.get(levels, h.bitwiseAND(F.lit(SKETCH - 1).cast("long")).cast("int")).bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1).cast("long")))
+    """token, key, x (size, the token's place by rarity, settled) and parity, for the prefix of each class."""
+    levels = F.lit(sketch)
+    level = lambda h: (F.ascii(F.substring(levels, h.bitwiseAND(F.lit(SKETCH - 1)).cast("int") + 1, 1).cast("string")) - 32).cast("long")
+    code = lambda h: F.call_function("shiftleft", level(h), F.lit(HASH_BITS)).bitwiseOR(F.call_function("shiftrightunsigned", h, F.lit(64 - HASH_BITS)))
     flip = lambda acc, x: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63).cast("long")).cast("int")))
-
-    def bag(codes: Column) -> Column:
-        n = F.size(codes)
-        # A similar line shares at least ceil(0.8 n) words, so one of the first n - ceil(0.8 n) + 1.
-        head = F.slice(codes, 1, n - F.ceil(4 * n / 5).cast("int") + 1)
-        # As join keys, 32 bits of each code do: a collision costs a look at a pair.
-        return F.struct(n.alias("n"), F.aggregate(codes, F.lit(0).cast("long"), flip).alias("parity"), F.transform(head, lambda x: F.hash(x)).alias("head"))
-
-    words = F.regexp_extract_all(F.lower("line"), F.lit(WORD), F.lit(0))
-    codes = F.transform(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))), code)
-    bags = c.select("key", "at", "settled", let(F.sort_array(codes), bag).alias("bag"))
-    return bags.select("key", "at", "settled", "bag.n", "bag.parity", F.posexplode("bag.head").alias("pos", "token"))
+    # A similar line shares at least ceil(0.8 n) words, so one of the first n - ceil(0.8 n) + 1.
+    n = F.size("words")
+    head = F.slice(F.sort_array(F.transform("words", code)), 1, n - F.ceil(4 * n / 5).cast("int") + 1)
+    bags = c.select("key", "settled", n.alias("n"), F.aggregate("words", F.lit(0).cast("long"), flip).alias("parity"), head.alias("head"))
+    # Outer, as in _lines: else heads are made twice.
+    rows = bags.select("key", "settled", "n", "parity", F.posexplode_outer("head").alias("pos", "token")).where(F.shiftright("token", HASH_BITS) > 0)
+    packed = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.shiftleft(F.col("pos").cast("long"), 1)).bitwiseOR(F.col("settled").cast("long"))
+    return rows.select("token", "key", "parity", packed.alias("x"))
 
 
-def _joined(p: DataFrame) -> DataFrame:
+def _joined(rows: DataFrame) -> DataFrame:
     """k1 < k2: pairs of classes that pass the prefix, size, positional and parity filters."""
-    packed = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.shiftleft(F.col("pos").cast("long"), 1)).bitwiseOR(F.col("settled").cast("long"))
-    rows = p.select("token", "key", "at", "parity", packed.alias("x"))
     a, b = rows.alias("a"), rows.alias("b")
     n = {s: F.shiftrightunsigned(f"{s}.x", 32) for s in "ab"}
     rest = {s: n[s] - F.shiftright(f"{s}.x", 1).bitwiseAND(F.lit((1 << 31) - 1).cast("long")) for s in "ab"}
-    settled = {s: F.col(f"{s}.x").bitwiseAND(F.lit(1).cast("long")) == 1 for s in "ab"}
-    # A pair decides the later line only, so it is open if that one isn't settled.
-    open_ = (~settled["a"] & (F.col("a.at") >= F.col("b.at"))) | (~settled["b"] & (F.col("b.at") >= F.col("a.at")))
-    near = 9 * F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity"))) <= n["a"] + n["b"]
+    # The later of two settled lines goes already.
+    open_ = F.col("a.x").bitwiseAND(F.col("b.x")).bitwiseAND(F.lit(1).cast("long")) == 0
+    sized = 5 * F.least(n["a"], n["b"]) >= 4 * F.greatest(n["a"], n["b"])
     # At the first word they share, both lines must have as many words left as the overlap needs.
-    near &= (9 * F.least(rest["a"], rest["b"]) >= 4 * (n["a"] + n["b"])) & (5 * F.least(n["a"], n["b"]) >= 4 * F.greatest(n["a"], n["b"]))
-    pairs = a.hint("merge").join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.key") < F.col("b.key")) & open_ & near)
+    near = (9 * F.least(rest["a"], rest["b"]) >= 4 * (n["a"] + n["b"])) & (9 * F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity"))) <= n["a"] + n["b"])
+    pairs = a.hint("merge").join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.key") < F.col("b.key")) & sized & near & open_)
     return pairs.select(F.col("a.key").alias("k1"), F.col("b.key").alias("k2")).distinct()
 
 
 def kept_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash and kept (array of line_no, key): the lines with a word in them that stay.
+    """doc_id, text_hash and kept (array of line_no): the lines with a word in them that stay.
 
-    The classes are a table bucketed by key, which all joins by key read in
-    place; it is dropped at the end.
+    The classes are bucketed by key, so that all joins by key read them in
+    place; their table is dropped at the end.
     """
-    sketch = rarity(docs)
-    c, drop = bucketed(classes(docs).withColumn("at", F.coalesce("doc_id", F.lit((1 << 63) - 1))), "key")
-    settled = materialize(_settled(c)).withColumn("settled", F.lit(True))
-    marked = c.join(settled, "key", "left").withColumn("settled", F.coalesce("settled", F.lit(False)))
-    found = materialize(verified(_joined(prefixes(marked, sketch)), c).select(F.col("later").alias("key")).distinct())
-    stay = c.select("key", "doc_id", "text_hash", "line_no").join(settled, "key", "left_anti").join(found, "key", "left_anti")
-    kept = materialize(stay.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("line_no", "key")).alias("kept")))
-    drop()
-    return kept
-
-
-def _with_kept(docs: DataFrame, columns: list[Column]) -> DataFrame:
+    c, drop = classes(docs)
+    try:
+        settled = materialize(_settled(c)).withColumn("settled", F.lit(True))
+        marked = c.join(settled, "key", "left").withColumn("settled", F.coalesce("settled", F.lit(False)))
+        found = materialize(verified(_joined(prefixes(marked, rarity(c))), c))
+        stay = c.select("key", "doc_id", "text_hash", "line_no").join(settled, "key", "left_anti").join(found, "key", "left_anti")
+        return materialize(stay.groupBy("doc_id", "text_hash").agg(F.collect_list("line_no").alias("kept")))
+    finally:
+        drop()
+
+
+def _with_removed(docs: DataFrame, columns: list[Column]) -> DataFrame:
+    """columns, __lines and __removed (numbers of the lines that go)."""
     text = text_of(docs)
-    left = docs.select(*columns, docs["doc_id"].alias("__id"), F.xxhash64(text).alias("__hash"))
+    left = docs.select(*columns, text.alias("__text"), docs["doc_id"].alias("__id"), F.xxhash64(text).alias("__hash"))
     k = kept_lines(docs).select(F.col("doc_id").alias("__kid"), F.col("text_hash").alias("__khash"), F.col("kept").alias("__kept"))
-    return left.join(k, F.col("__id").eqNullSafe(F.col("__kid")) & (F.col("__hash") == F.col("__khash")), "left")
-
-
-def _is_kept(entry: Column) -> Column:
-    return F.coalesce(F.array_contains("__kept", entry), F.lit(False))
+    both = left.join(k, F.col("__id").eqNullSafe(F.col("__kid")) & (F.col("__hash") == F.col("__khash")), "left")
+    both = both.select("*", F.split("__text", "\n").alias("__lines"))
+    some = F.filter(F.transform("__lines", lambda x, i: F.when(x.rlike(ELIGIBLE), i)), lambda i: i.isNotNull())
+    return both.withColumn("__removed", F.array_except(some, F.coalesce("__kept", F.array().cast("array<int>"))))
 
 
 def decisions(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines and removed (array of line numbers from 0), one row a document."""
-    lines = F.split(text_of(docs), "\n")
-    entries = F.filter(
-        F.transform(lines, lambda x, i: F.when(x.rlike(ELIGIBLE), F.struct(i.alias("line_no"), _key(x).alias("key")))),
-        lambda e: e.isNotNull(),
-    )
-    df = _with_kept(docs, [docs["doc_id"].alias("__doc"), F.size(lines).alias("__n"), entries.alias("__lines")])
-    gone = F.transform(F.filter("__lines", lambda e: ~_is_kept(e)), lambda e: e["line_no"])
-    return df.select(F.col("__doc").alias("doc_id"), F.col("__n").cast("long").alias("n_lines"), gone.alias("removed"))
+    df = _with_removed(docs, [docs["doc_id"].alias("__doc")])
+    return df.select(F.col("__doc").alias("doc_id"), F.size("__lines").cast("long").alias("n_lines"), F.col("__removed").alias("removed"))
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """docs with the removed lines cut out of text."""
-    df = _with_kept(docs, [F.struct(*[docs[c] for c in docs.columns]).alias("__row")])
-    keep = lambda x, i: ~x.rlike(ELIGIBLE) | _is_kept(F.struct(i.alias("line_no"), _key(x).alias("key")))
-    text = F.array_join(F.filter(F.split(F.col("__row.text"), "\n"), keep), "\n")
+    df = _with_removed(docs, [F.struct(*[docs[c] for c in docs.columns]).alias("__row")])
+    # Lines tagged with their numbers are all different, so the difference of two arrays is linear and keeps every other line.
+    tag = lambda x, i: F.concat(i.cast("string"), F.lit(":"), x)
+    left = F.array_except(F.transform("__lines", tag), F.transform("__removed", lambda i: tag(F.get("__lines", i), i)))
+    text = F.when(F.size("__removed") == 0, F.col("__row.text")).otherwise(F.array_join(F.transform(left, lambda x: F.substr(x, F.instr(x, ":") + 1)), "\n"))
     return df.select(*[text.alias(c) if c == "text" else F.col(f"__row.`{c}`").alias(c) for c in docs.columns])
 
 

@@ -116,7 +116,7 @@ def removed_lines(docs):
     for r, (d, t) in enumerate(docs):
         for i, x in enumerate((t or "").split("\n")):
             w = word.findall(x.lower())
-            if len(w) >= 5:
+            if w:
                 lines.append((d is None, d or 0, i, r, frozenset(w)))
     lines.sort(key=lambda x: x[:4])
     by_word, out = defaultdict(list), defaultdict(list)

@@ -90,6 +90,12 @@ def test_lines(spark, docs):
     whole = line_dedup.deduplicate(docs)
     assert whole.columns == docs.columns and whole.count() == len(ROWS)
     assert whole.where("text IS NULL").count() == 2
+    # Null ids, repeated rows and long texts, against a plain version: rows without a null id first, of equal ids by text hash, repeats once.
+    hashed = docs.where("text IS NOT NULL").select("doc_id", "text", F.xxhash64("text").alias("h")).distinct().collect()
+    order = sorted(hashed, key=lambda r: (r.doc_id is None, r.doc_id or 0, r.h))
+    gone = brute.removed_lines([(i, r.text) for i, r in enumerate(order)])
+    want = {(r.doc_id, r.text): "\n".join(x for k, x in enumerate(r.text.split("\n")) if k not in gone[i]) for i, r in enumerate(order)}
+    assert sorted(t for (d, t0), t in want.items() for _ in range(sum((r[0], r[1]) == (d, t0) for r in ROWS))) == sorted(r.text for r in whole.where("text IS NOT NULL").collect())
 
 
 def test_stages_keep_columns(spark, docs, tmp_path):

@@ -42,3 +42,13 @@ def test_short_lines_of_a_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     short = [(d, "\n".join(x for x in t.split("\n") if len(x.split()) < 9)) for d, t in rows]
     assert sum(map(len, check(spark, short).values())) > 50
+
+
+def test_lines_whose_names_clash(spark, monkeypatch):
+    """Unequal lines that share a name are told apart by the second hash."""
+    from pyspark.sql import functions as F
+
+    real = line_dedup._names
+    monkeypatch.setattr(line_dedup, "_names", lambda line: (F.length(line).cast("long"), real(line)[1]))
+    docs = [(1, "one two three\nsix two three\nlonger line than these"), (2, "six two three\none two three\nten two three"), (3, "longer line than these\nTEN two three")]
+    assert check(spark, docs) == {1: [0, 1], 2: [0, 1]}
