@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import fields, patterns, text
@@ -12,27 +12,37 @@ CARRY = ("review_id", "gmap_id", "user_id", "time", "rating", "text", "pics", "r
 GROUPS = ("text_form", "ad_promo", "nonvisit", "relevancy", "media_resp", "temporal_rating", "aggregates", "language")
 
 
-def group_windows(df: DataFrame) -> dict[str, Column]:
-    """Counts, means and deviations by place and by user.
+def group_windows(df: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+    """df joined with its groups' aggregates, and the columns made of them: counts, means and deviations by place and by user.
 
-    Rows without a key get nulls (duplicates: 1). The place and the
-    (place, text) windows share one exchange on the place.
+    Aggregates are made by groupBy, with partial sums before the shuffle, and
+    joined back, so a place or user with a large share of all rows is split over
+    tasks. Texts are compared by two 64-bit hashes. Rows without a key get nulls
+    (duplicates: 1).
     """
     out: dict[str, Column] = {}
+    rated = "rating" in df.columns
     for key, name in (("gmap_id", "place"), ("user_id", "user")):
         if key not in df.columns:
             continue
-        w, known = Window.partitionBy(key), F.col(key).isNotNull()
-        out[f"{name}_review_count"] = F.when(known, F.count(F.lit(1)).over(w))
-        if "rating" in df.columns:
-            mean = F.avg("rating").over(w)
-            out[f"{name}_rating_mean"] = F.when(known, mean)
-            out[f"{name}_rating_std"] = F.coalesce(F.when(known, F.stddev_samp("rating").over(w)), F.lit(0.0))
-            out[f"rating_dev_from_{name}_mean"] = F.when(known, F.col("rating") - mean)
+        n, mean, std, k = f"__{name}_n", f"__{name}_mean", f"__{name}_std", f"__{name}"
+        made = [F.avg("rating").alias(mean), F.stddev_samp("rating").alias(std)] if rated else []
+        groups = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(k)).agg(F.count(F.lit(1)).alias(n), *made)
+        joined = df.join(groups, df[key] == groups[k], "left").drop(k)
+        out[f"{name}_review_count"] = F.col(n)
+        if rated:
+            out[f"{name}_rating_mean"] = F.col(mean)
+            out[f"{name}_rating_std"] = F.coalesce(F.col(std), F.lit(0.0))
+            out[f"rating_dev_from_{name}_mean"] = F.col("rating") - F.col(mean)
         if key == "gmap_id" and "text" in df.columns:
-            same = F.count(F.lit(1)).over(Window.partitionBy("gmap_id", "text"))
-            out["text_dup_count_place"] = F.coalesce(F.when(known & F.col("text").isNotNull(), same), F.lit(1))
-    return out
+            hashed = {"__h1": F.xxhash64("text"), "__h2": F.xxhash64(F.lit("second"), "text")}
+            same = df.where(F.col(key).isNotNull() & F.col("text").isNotNull()).groupBy(F.col(key).alias(k), *[v.alias(f"{x}_") for x, v in hashed.items()]).agg(F.count(F.lit(1)).alias("__same"))
+            joined = joined.withColumns(hashed)
+            on = (joined[key] == same[k]) & joined["text"].isNotNull() & (joined["__h1"] == same["__h1_"]) & (joined["__h2"] == same["__h2_"])
+            joined = joined.join(same, on, "left").drop(k, "__h1", "__h2", "__h1_", "__h2_")
+            out["text_dup_count_place"] = F.coalesce(F.col("__same"), F.lit(1))
+        df = joined
+    return df, out
 
 
 def features(df: DataFrame, as_of: float, groups=GROUPS, carry=CARRY, lexicons: dict = patterns.LEXICONS, short_tokens_max: int = 8, long_chars_min: int = 200, nonlatin_flag: float = 0.25) -> DataFrame:
@@ -56,7 +66,8 @@ def features(df: DataFrame, as_of: float, groups=GROUPS, carry=CARRY, lexicons:
     if "temporal_rating" in groups:
         made |= fields.temporal(df, as_of)
     if "aggregates" in groups:
-        made |= group_windows(df)
+        source, found = group_windows(source)
+        made |= found
     if "language" in groups:
         made |= text.language(t, nonlatin_flag)
     return source.select(*kept, *[v.alias(k) for k, v in made.items()])

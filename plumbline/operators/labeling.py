@@ -16,6 +16,8 @@ from plumbline.functions.fields import clip01, ensure_id
 from plumbline.functions.schema import SCORES, SILVER, require
 from plumbline.operators.joins import fuse_with_rules
 from plumbline.operators.sampling import random_sample
+from plumbline.sources import io
+from plumbline.sources.scratch import materialize
 
 #: What a model is asked for; a deployment passes its own prompt and examples.
 SYSTEM = "Rate the review of a place. Answer with one JSON object, numbers between 0 and 1, with the keys " + ", ".join(SCORES) + ". No other text."
@@ -97,11 +99,41 @@ def heuristic(chat: list[dict]) -> str:
     return json.dumps({"ads_promo": ads, "irrelevant": share("iphone", "android", "laptop"), "rant_no_visit": rant, "spam_low_quality": spam, "relevancy_score": round(1 - max(ads, spam), 3), "visit_likelihood": 1 - rant})
 
 
-def score(df: DataFrame, make=lambda: heuristic, id_key: str = "review_id", retries: int = 1, **fields) -> DataFrame:
-    """id and the six scores within 0 and 1. An answer without JSON is asked for again; then all scores are 0.
+def local_model(path: str, device: str | None = None, new_tokens: int = 200, trust_remote_code: bool = False):
+    """A make() for a causal language model in a folder (or by name) that every worker can read: loaded once a worker, greedy answers."""
+
+    def make() -> Scorer:
+        import torch
+        from transformers import AutoModelForCausalLM, AutoTokenizer
+
+        where = device or ("cuda" if torch.cuda.is_available() else "cpu")
+        tokens = AutoTokenizer.from_pretrained(path, trust_remote_code=trust_remote_code)
+        model = AutoModelForCausalLM.from_pretrained(path, trust_remote_code=trust_remote_code, torch_dtype=torch.float32 if where == "cpu" else torch.float16).to(where).eval()
+
+        def answer(chat: list[dict]) -> str:
+            asked = tokens.apply_chat_template(chat, add_generation_prompt=True, return_tensors="pt").to(where)
+            with torch.inference_mode():
+                said = model.generate(asked, max_new_tokens=new_tokens, do_sample=False, pad_token_id=tokens.pad_token_id or tokens.eos_token_id)
+            return tokens.decode(said[0, asked.shape[1] :], skip_special_tokens=True)
+
+        return answer
+
+    return make
+
+
+def repair(chat: list[dict]) -> list[dict]:
+    """What is asked after an answer without JSON: the system text, the wanted object spelled out, and the review alone."""
+    review = chat[-1]["content"].rpartition("Review:\n")[2]
+    wanted = json.dumps(dict.fromkeys(SCORES, 0.0))
+    return [chat[0], {"role": "user", "content": f"Your answer must be this JSON object and nothing else, each number replaced by one from 0 to 1:\n{wanted}\n\nReview:\n{review}"}]
 
-    make() builds the scorer once a worker, so a model is loaded once and rows
-    stream through in Arrow batches.
+
+def answers(df: DataFrame, make=lambda: heuristic, id_key: str = "review_id", retries: int = 1, **fields) -> DataFrame:
+    """id, prompt (the last one, as JSON), answer (as it came) and json (the object in it, or null).
+
+    An answer without JSON is followed by the repair prompt, up to `retries`
+    times. make() builds the scorer once a worker, so a model is loaded once and
+    rows stream through in Arrow batches.
     """
     asked = df.select(F.col(id_key).alias("__id"), messages(df, **fields).alias("__chat"))
 
@@ -110,22 +142,33 @@ def score(df: DataFrame, make=lambda: heuristic, id_key: str = "review_id", retr
         for batch in batches:
             out = []
             for chat in batch["__chat"]:
-                found, chat = None, [{"role": m["role"], "content": m["content"]} for m in chat]
-                for _ in range(1 + retries):
+                chat = [{"role": m["role"], "content": m["content"]} for m in chat]
+                for attempt in range(1 + retries):
+                    chat = repair(chat) if attempt == 1 else chat
                     try:
-                        found = first_object(model(chat))
-                    except Exception:  # noqa: BLE001  a failed call counts as no answer
-                        found = None
+                        raw = model(chat)
+                        found = first_object(raw)
+                    except Exception as e:  # noqa: BLE001  a failed call counts as no answer
+                        raw, found = repr(e), None
                     if found:
                         break
-                out.append(found)
-            yield pd.DataFrame({"__id": batch["__id"], "__json": out})
+                out.append((json.dumps(chat, ensure_ascii=False), raw, found))
+            yield pd.DataFrame({"__id": batch["__id"], **{c: [x[i] for x in out] for i, c in enumerate(("prompt", "answer", "json"))}})
 
     kind = asked.schema["__id"].dataType.simpleString()
-    answers = asked.mapInPandas(answer, f"__id {kind}, __json string")
-    raw = F.from_json("__json", ", ".join(f"{c} string" for c in SCORES))
-    value = lambda c: F.when(F.col("__json").isNull(), F.lit(0.0)).otherwise(clip01(F.col(f"__s.{c}")))
-    return answers.withColumn("__s", raw).select(F.col("__id").alias(id_key), *[value(c).alias(c) for c in SCORES])
+    return asked.mapInPandas(answer, f"__id {kind}, prompt string, answer string, json string").withColumnRenamed("__id", id_key)
+
+
+def scores_of(found: DataFrame, id_key: str = "review_id") -> DataFrame:
+    """id and the six scores within 0 and 1 of answers(); all 0 where there was no object."""
+    raw = F.from_json("json", ", ".join(f"{c} string" for c in SCORES))
+    value = lambda c: F.when(F.col("json").isNull(), F.lit(0.0)).otherwise(clip01(F.col(f"__s.{c}")))
+    return found.withColumn("__s", raw).select(id_key, *[value(c).alias(c) for c in SCORES])
+
+
+def score(df: DataFrame, make=lambda: heuristic, id_key: str = "review_id", retries: int = 1, **fields) -> DataFrame:
+    """id and the six scores within 0 and 1; all 0 if no answer had a JSON object."""
+    return scores_of(answers(df, make, id_key, retries, **fields), id_key)
 
 
 def raw_model(prefix: str = "") -> Column:
@@ -133,11 +176,19 @@ def raw_model(prefix: str = "") -> Column:
     return F.to_json(F.struct(*[F.col(f"{prefix}{c}").alias(c) for c in SCORES]), {"ignoreNullFields": "false"})
 
 
-def silver(df: DataFrame, n: int = 2000, seed: int = 16, id_key: str = "review_id", rules: DataFrame | None = None, make=lambda: heuristic, **fusion) -> DataFrame:
-    """Labels for a seeded sample of n rows (0: all), fused with rule priors where rules are given."""
+def silver(df: DataFrame, n: int = 2000, seed: int = 16, id_key: str = "review_id", rules: DataFrame | None = None, make=lambda: heuristic, prompt: dict | None = None, debug: str | None = None, **fusion) -> DataFrame:
+    """Labels for a seeded sample of n rows (0: all), fused with rule priors where rules are given.
+
+    prompt: the system text and the examples, as messages() takes them. debug: a
+    folder that gets the first prompts with their raw answers.
+    """
     require(df, ["text"])
     df = ensure_id(df, id_key)
-    labels = score(random_sample(df, n, seed, id_key) if n else df, make, id_key)
+    found = answers(random_sample(df, n, seed, id_key) if n else df, make, id_key, **(prompt or {}))
+    if debug:
+        found = materialize(found)  # so that the model isn't asked twice
+        io.debug_dump(found, debug)
+    labels = scores_of(found, id_key)
     return fuse_with_rules(labels, rules, id_key=id_key, **fusion) if rules is not None else labels
 
 

@@ -1,8 +1,9 @@
 """Evaluation measures as aggregates: columns y (0 or 1) and p (a score).
 
 Ranking measures group by distinct score first, so that ties count once and the
-ordered window runs over score values. Scores are cut into even ranges for it;
-each range is a partition, with the sums of the ranges above added.
+ordered window runs over score values. Scores are cut into ranges of about as
+many distinct scores each; each range is a partition, with the sums of the
+ranges above added.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.sources.scratch import materialize
+
 RANGES = 256
 
 
@@ -32,23 +35,23 @@ def brier(df: DataFrame) -> DataFrame:
 
 
 def curve(df: DataFrame) -> DataFrame:
-    """One row a distinct score, with tp and fp at or above it, those at it (dtp, dfp), and the totals (pos, neg).
+    """One row a distinct score, with tp and fp at or above it, those at it (dtp, dfp), the totals (pos, neg) and rank (from 0, the highest score first).
 
-    The totals and the sums of the score ranges above are tables of one row and
-    of RANGES rows; the window inside a range holds that range's scores only.
+    The sums of the score ranges above are a table of RANGES rows; the window
+    inside a range holds that range's scores only.
     """
-    points = df.groupBy("p").agg(F.sum("y").cast("long").alias("dtp"), F.sum(1 - F.col("y")).cast("long").alias("dfp"))
-    low_high = df.agg(F.min("p").alias("lo"), F.max("p").alias("hi"), F.coalesce(F.sum("y"), F.lit(0)).cast("long").alias("pos"), F.coalesce(F.sum(1 - F.col("y")), F.lit(0)).cast("long").alias("neg")).first()
-    lo, hi = low_high["lo"] or 0.0, low_high["hi"] or 0.0
-    span = (hi - lo) or 1.0
-    at = F.least(F.lit(RANGES - 1), F.floor((F.col("p") - lo) / span * RANGES)).cast("int")
+    points = materialize(df.groupBy("p").agg(F.sum("y").cast("long").alias("dtp"), F.sum(1 - F.col("y")).cast("long").alias("dfp")))
+    pos, neg = points.agg(F.coalesce(F.sum("dtp"), F.lit(0)), F.coalesce(F.sum("dfp"), F.lit(0))).first()
+    edges = sorted(set(points.where("p IS NOT NULL").approxQuantile("p", [k / RANGES for k in range(1, RANGES)], 0.25 / RANGES)))
+    at = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= F.col("p"))) if edges else F.lit(0)
     points = points.withColumn("__range", at)
-    sums = points.groupBy("__range").agg(F.sum("dtp").alias("t"), F.sum("dfp").alias("f"))
-    above = Window.orderBy(F.desc("__range")).rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.select("__range", F.coalesce(F.sum("t").over(above), F.lit(0)).alias("t0"), F.coalesce(F.sum("f").over(above), F.lit(0)).alias("f0"))
-    inside = Window.partitionBy("__range").orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, 0)
-    joined = points.withColumns({"t": F.sum("dtp").over(inside), "f": F.sum("dfp").over(inside)}).join(F.broadcast(bases), "__range")  # RANGES rows at most
-    return joined.select("p", "dtp", "dfp", (F.col("t0") + F.col("t")).cast("long").alias("tp"), (F.col("f0") + F.col("f")).cast("long").alias("fp"), F.lit(low_high["pos"]).alias("pos"), F.lit(low_high["neg"]).alias("neg"))
+    sums = points.groupBy("__range").agg(F.sum("dtp").alias("t"), F.sum("dfp").alias("f"), F.count(F.lit(1)).alias("n"))
+    above = Window.orderBy(F.desc("__range")).rowsBetween(Window.unboundedPreceding, -1)  # over RANGES rows
+    bases = sums.select("__range", *[F.coalesce(F.sum(x).over(above), F.lit(0)).alias(f"{x}0") for x in "tfn"])
+    order = Window.partitionBy("__range").orderBy(F.desc("p"))
+    inside = order.rowsBetween(Window.unboundedPreceding, 0)
+    joined = points.withColumns({"t": F.sum("dtp").over(inside), "f": F.sum("dfp").over(inside), "n": F.row_number().over(order)}).join(F.broadcast(bases), "__range")  # RANGES rows at most
+    return joined.select("p", "dtp", "dfp", (F.col("t0") + F.col("t")).cast("long").alias("tp"), (F.col("f0") + F.col("f")).cast("long").alias("fp"), F.lit(pos).cast("long").alias("pos"), F.lit(neg).cast("long").alias("neg"), (F.col("n0") + F.col("n") - 1).alias("rank"))
 
 
 def ranking(df: DataFrame) -> DataFrame:
@@ -88,24 +91,19 @@ MOST_CANDIDATES = 512
 
 def best_f1(df: DataFrame) -> DataFrame:
     """threshold and f1: the best of the coarse grid and of the distinct scores (evenly spaced ones if there are many); ties go to the lowest."""
-    c = curve(df)
+    c = materialize(curve(df))
     n = c.count()
-    ranked = c.withColumn("__rank", F.row_number().over(Window.orderBy("p")) - 1) if n > MOST_CANDIDATES else None
-    if ranked is not None:
-        chosen = sorted({int(round(k * (n - 1) / (MOST_CANDIDATES - 1))) for k in range(MOST_CANDIDATES)})
-        scores = ranked.where(F.col("__rank").isin(chosen)).select("p")
-    else:
-        scores = c.select("p")
-    coarse = df.sparkSession.createDataFrame([(t,) for t in COARSE], "p double")
-    tries = scores.union(coarse).distinct().withColumnRenamed("p", "threshold")
-    # A threshold's counts are those of the least score at or above it, found by one ordered pass over scores and tries.
-    merged = c.select(F.col("p").alias("x"), F.lit(0).alias("try"), "tp", "fp").union(tries.select("threshold", F.lit(1), F.lit(None).cast("long"), F.lit(None).cast("long")))
-    back = Window.orderBy(F.desc("x"), "try").rowsBetween(Window.unboundedPreceding, 0)
-    last = lambda k: F.coalesce(F.last(k, ignorenulls=True).over(back), F.lit(0)).alias(k)
-    found = merged.select(F.col("x").alias("threshold"), "try", last("tp"), last("fp")).where("try = 1").select("threshold", "tp", (F.col("tp") + F.col("fp")).alias("hits"))
-    pos = df.agg(F.coalesce(F.sum("y"), F.lit(0)).alias("n")).first()["n"]
-    f1 = _div(2.0 * F.col("tp"), F.col("hits") + F.lit(float(pos)))
-    return found.select("threshold", f1.alias("f1")).orderBy(F.desc(F.round("f1", 12)), "threshold").limit(1)
+    scores = c
+    if n > MOST_CANDIDATES:
+        chosen = {n - 1 - int(round(k * (n - 1) / (MOST_CANDIDATES - 1))) for k in range(MOST_CANDIDATES)}
+        scores = c.where(F.col("rank").isin(sorted(chosen)))
+    # A coarse threshold's counts are the sums at and above it.
+    total = lambda k, t: F.coalesce(F.sum(F.when(F.col("p") >= t, F.col(k))), F.lit(0))
+    coarse = c.agg(F.array(*[F.struct(F.lit(t).alias("threshold"), total("dtp", t).alias("tp"), total("dfp", t).alias("fp")) for t in COARSE]).alias("x")).select(F.inline("x"))
+    tries = scores.select(F.col("p").alias("threshold"), "tp", "fp").union(coarse)
+    pos = c.agg(F.coalesce(F.max("pos"), F.lit(0)).alias("n")).first()["n"]
+    f1 = _div(2.0 * F.col("tp"), F.col("tp") + F.col("fp") + F.lit(float(pos)))
+    return tries.select("threshold", f1.alias("f1")).orderBy(F.desc(F.round("f1", 12)), "threshold").limit(1)
 
 
 def regression(df: DataFrame) -> DataFrame:

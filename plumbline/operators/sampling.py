@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from plumbline.functions import fields
 from plumbline.functions.schema import require
 from plumbline.operators.joins import keep_first
+from plumbline.operators.ranges import placed
 from plumbline.sources.scratch import materialize
 
 
@@ -59,15 +60,17 @@ def proportional_sample(pool: DataFrame, keys: list[str], n: int, seed: int, id_
     n = max(0, n)
     if not n:
         return pool.limit(0)
-    order = [order_key(seed, id_key), F.col(id_key)]
-    q = quotas(pool.groupBy(*keys).count(), keys, n).select(*[F.col(k).alias(f"__{k}") for k in keys], "quota")
+    order = order_key(seed, id_key)
+    strata = quotas(pool.groupBy(*keys).count(), keys, n)
+    lacking = strata.agg(F.coalesce(F.sum(F.greatest(F.lit(0), F.col("quota") - F.col("count"))), F.lit(0)).alias("n")).first()["n"]
+    q = strata.select(*[F.col(k).alias(f"__{k}") for k in keys], "quota")
     joined = pool.join(q, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]).select(*pool.columns, "quota")
-    ranked = joined.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    in_quota = ranked.withColumn("__in", F.col("__n") <= F.col("quota"))
-    if not top_up:
-        return in_quota.where("__in").drop("quota", "__n", "__in")
+    # Only ranges that begin below the quota are ranked; a quota is the same in all rows of a stratum.
+    ranked = placed(joined, [*keys, "quota"], order, [id_key], None if top_up and lacking else F.col("__start") < F.col("quota"))
+    if not top_up or not lacking:
+        return ranked.where("__n <= quota").select(*pool.columns)
     # Rows in quota first, then the others by the order key.
-    return in_quota.orderBy(F.desc("__in"), *order).limit(n).drop("quota", "__n", "__in")
+    return ranked.orderBy(F.desc(F.col("__n") <= F.col("quota")), order, id_key).limit(n).select(*pool.columns)
 
 
 @dataclass(frozen=True)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.fields import epoch_seconds, finite, number
 from plumbline.functions.schema import BINARY, require
 from plumbline.operators.joins import keep_first
+from plumbline.operators.ranges import placed
 from plumbline.sources.scratch import materialize
 
 TINY = 4.9e-324
@@ -33,11 +34,43 @@ class Split:
     missing_time_is_newest: bool = False
 
 
+#: Ranges into which a column's values are counted at once.
+RANGES = 4096
+
+
+def quantile(values: DataFrame, q: float) -> float | None:
+    """The exact quantile of column x (no nulls), linear between two values; None without rows.
+
+    Values are counted in even ranges, and again in the range that holds the
+    wanted place, until that range is one value. Each pass brings RANGES rows
+    at most to the driver, and no task holds more.
+    """
+    n, low, high = values.agg(F.count(F.lit(1)), F.min("x"), F.max("x")).first()
+    if not n:
+        return None
+    place = (n - 1) * q
+    rank = int(place)
+    skipped = 0
+    while low < high:
+        at = F.least(F.lit(RANGES - 1), F.floor((F.col("x") / 2 - low / 2) / (high / 2 - low / 2) * RANGES))
+        inside = values.where(F.col("x").between(low, high)).groupBy(at.alias("r")).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+        for r in sorted(inside.collect(), key=lambda r: r["lo"]):
+            if skipped + r["n"] > rank:
+                low, high = r["lo"], r["hi"]
+                break
+            skipped += r["n"]
+    if place == rank:
+        return low
+    upto, after = values.agg(F.sum((F.col("x") <= low).cast("long")), F.min(F.when(F.col("x") > low, F.col("x")))).first()
+    above = low if upto > rank + 1 else after
+    return (rank + 1 - place) * low + (place - rank) * above
+
+
 def cuts(df: DataFrame, prevalence: dict) -> dict[str, float]:
     """Label -> exact quantile of its score that leaves the wanted share above it; never 0 or less."""
-    cols = [F.percentile(finite(F.col(k)), 1 - p / 100.0).alias(k) for k, p in prevalence.items()]
-    row = df.agg(*cols).first()
-    return {k: (row[k] if row[k] is not None and row[k] > 0 else TINY) for k in prevalence}
+    scores = materialize(df.select(*[finite(F.col(k)).alias(k) for k in prevalence]))
+    found = {k: quantile(scores.select(F.col(k).alias("x")).where("x IS NOT NULL"), 1 - p / 100.0) for k, p in prevalence.items()}
+    return {k: v if v is not None and v > 0 else TINY for k, v in found.items()}
 
 
 def binarize(df: DataFrame, cut: dict[str, float], genuine: bool = True) -> DataFrame:
@@ -115,11 +148,9 @@ def order_key(seed: int, c: str) -> Column:
 
 def assign(groups: DataFrame, ratios=(0.70, 0.15, 0.15), seed: int = 16, group: str = "gmap_id") -> DataFrame:
     """groups (group, label) with split: within a label, in hash order, the first shares go to train and val."""
-    w = Window.partitionBy("label")
-    i = F.row_number().over(w.orderBy(order_key(seed, group), group)) - 1
-    n = F.count(F.lit(1)).over(w)
-    train, val = F.bround(n * ratios[0]), F.bround(n * ratios[1])
-    return groups.withColumns({"__i": i, "__t": train, "__v": val}).withColumn("split", F.when(F.col("__i") < F.col("__t"), "train").when(F.col("__i") < F.col("__t") + F.col("__v"), "val").otherwise("test")).drop("__i", "__t", "__v")
+    rows = placed(groups, ["label"], order_key(seed, group), [group])
+    train, val = F.bround(F.col("__total") * ratios[0]), F.bround(F.col("__total") * ratios[1])
+    return rows.withColumn("split", F.when(F.col("__n") <= train, "train").when(F.col("__n") <= train + val, "val").otherwise("test")).drop("__n", "__total")
 
 
 def rebalance(table: DataFrame, labels=BINARY, min_per_split: dict | None = None, seed: int = 16, group: str = "gmap_id") -> DataFrame:
@@ -127,7 +158,8 @@ def rebalance(table: DataFrame, labels=BINARY, min_per_split: dict | None = None
 
     table: group, split and <label>_bin sums, one row a group. Each move is one
     limit over that table: first from train, then from the other split; as many
-    groups move as positives are missing.
+    groups move as positives are missing. The table is written after each move,
+    so that plans stay short.
     """
     for target in ("val", "test"):
         for k in labels:
@@ -138,7 +170,7 @@ def rebalance(table: DataFrame, labels=BINARY, min_per_split: dict | None = None
                     break
                 moved = table.where((F.col("split") == donor) & (F.col(f"{k}_bin") > 0)).orderBy(order_key(seed, group), group).limit(int(want)).select(F.col(group).alias("__g"), F.lit(True).alias("__move"))
                 joined = table.join(F.broadcast(moved), table[group].eqNullSafe(moved["__g"]), "left")  # at most min_per_split rows
-                table = joined.withColumn("split", F.when(F.col("__move"), target).otherwise(F.col("split"))).select(*table.columns)
+                table = materialize(joined.withColumn("split", F.when(F.col("__move"), target).otherwise(F.col("split"))).select(*table.columns))
     return table
 
 

@@ -176,7 +176,8 @@ _W = """SELECT review_id, CAST(count(*) OVER (PARTITION BY gmap_id) AS BIGINT) A
 @query(f"WITH {R} {_W}")
 def group_windows(spark, d):
     r = reviews(spark, d)
-    return rounded(r.select("review_id", *[v.alias(k) for k, v in features.group_windows(r).items()]))
+    joined, made = features.group_windows(r)
+    return rounded(joined.select("review_id", *[v.alias(k) for k, v in made.items()]))
 
 
 _RULES = rf"""f AS (SELECT review_id, gmap_id, {TOKENS} AS tok, text, category,
@@ -265,14 +266,12 @@ def dedup_exact_text(spark, d):
 
 
 _S = {k: f"CAST((doc_id * {p}) % 1000 AS DOUBLE) / 1000.0" for k, p in zip(schema.SCORES, (7919, 7907, 7901, 7883, 7879, 7877), strict=True)}
-S = f"silver AS (SELECT CAST(doc_id AS VARCHAR) AS review_id, {', '.join(f'{v} AS {k}' for k, v in _S.items())} FROM documents WHERE doc_id % 3 <> 0)"
+S = f"silver AS (SELECT CAST(doc_id AS VARCHAR) AS review_id, {', '.join(f'{v} AS {k}' for k, v in _S.items())} FROM documents)"
 
 
-def pseudo_silver(spark, d, every: bool = False) -> DataFrame:
-    """Scores by arithmetic in place of a model's; two thirds of the documents, or all."""
-    docs = table(spark, d, "documents")
-    docs = docs if every else docs.where("doc_id % 3 <> 0")
-    return docs.select(F.col("doc_id").cast("string").alias("review_id"), *[F.expr(v).alias(k) for k, v in _S.items()])
+def pseudo_silver(spark, d) -> DataFrame:
+    """Scores by arithmetic in place of a model's."""
+    return table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("review_id"), *[F.expr(v).alias(k) for k, v in _S.items()])
 
 
 @query(f"WITH {R}, {S} SELECT s.*, r.gmap_id, r.rating FROM silver s LEFT JOIN reviews r USING (review_id)")
@@ -280,11 +279,12 @@ def silver_base_merge(spark, d):
     return joins.merge_with_base(reviews(spark, d).select("review_id", "gmap_id", "rating"), pseudo_silver(spark, d))
 
 
-_FLAGS = "flags AS (SELECT CAST(doc_id AS VARCHAR) AS review_id, CAST(doc_id % 2 = 0 AS INTEGER) AS a, CAST(doc_id % 5 = 0 AS INTEGER) AS b FROM documents)"
+_FLAGS = "flags AS (SELECT CAST(doc_id AS VARCHAR) AS review_id, CAST(toxic = 1 AS INTEGER) AS a, CAST(quality = 0 AS INTEGER) AS b FROM labels)"
 
 
 def _flagged(spark, d):
-    return table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("review_id"), (F.col("doc_id") % 2 == 0).cast("int").alias("rule_ads_strong"), (F.col("doc_id") % 5 == 0).cast("int").alias("rule_spam_strong"))
+    """Flags by the labels, which cover some of the documents."""
+    return table(spark, d, "labels").select(F.col("doc_id").cast("string").alias("review_id"), (F.col("toxic") == 1).cast("int").alias("rule_ads_strong"), (F.col("quality") == 0).cast("int").alias("rule_spam_strong"))
 
 
 @query(f"""WITH {S}, {_FLAGS} SELECT review_id, CASE WHEN a = 1 THEN greatest(ads_promo, 0.9) ELSE ads_promo END AS ads_promo,
@@ -299,13 +299,13 @@ def rule_fusion_blend(spark, d):
     return rounded(joins.fuse_with_rules(pseudo_silver(spark, d), _flagged(spark, d), mode="blend").select("review_id", "ads_promo", "spam_low_quality"))
 
 
-@query("""WITH a AS (SELECT doc_id AS review_id, doc_id % 1000 / 1000.0 AS pred_ads_promo FROM documents WHERE doc_id % 2 = 0),
-b AS (SELECT doc_id AS review_id, doc_id % 500 / 500.0 AS pred_irrelevant FROM documents WHERE doc_id % 3 = 0)
+@query("""WITH a AS (SELECT doc_id AS review_id, doc_id % 1000 / 1000.0 AS pred_ads_promo FROM documents),
+b AS (SELECT doc_id AS review_id, doc_id % 500 / 500.0 AS pred_irrelevant FROM labels)
 SELECT review_id, CAST(pred_ads_promo AS DOUBLE) AS pred_ads_promo, CAST(pred_irrelevant AS DOUBLE) AS pred_irrelevant FROM a FULL JOIN b USING (review_id)""")
 def merge_predictions(spark, d):
-    i = table(spark, d, "documents").select(F.col("doc_id").alias("review_id"))
-    a = i.where("review_id % 2 = 0").select("review_id", (F.col("review_id") % 1000 / 1000.0).alias("pred_ads_promo"))
-    b = i.where("review_id % 3 = 0").select("review_id", (F.col("review_id") % 500 / 500.0).alias("pred_irrelevant"))
+    """Predictions for all documents and for the labelled ones."""
+    a = table(spark, d, "documents").select(F.col("doc_id").alias("review_id"), (F.col("doc_id") % 1000 / 1000.0).alias("pred_ads_promo"))
+    b = table(spark, d, "labels").select(F.col("doc_id").alias("review_id"), (F.col("doc_id") % 500 / 500.0).alias("pred_irrelevant"))
     return joins.merge_predictions([a, b])
 
 
@@ -349,22 +349,44 @@ def random_sample(spark, d):
     return sampling.random_sample(pool(spark, d).select("review_id"), 500, SEED)
 
 
-@query(f"""WITH {P}, capped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY gmap_id ORDER BY {KEY}, review_id) AS n1 FROM pool) WHERE n1 <= 50),
-capped2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY {KEY}, review_id) AS n2 FROM capped) WHERE n2 <= 10)
-SELECT least(count(*), 1000) AS n, least(count(*), 1000) AS n_ids, true AS caps_hold, true AS recent_floor FROM capped2""")
+def _sampler_sql(target: int, as_of: int) -> str:
+    """The whole sampler: caps, tiers, then each floor and target as a proportional sample of the rows not yet chosen."""
+    steps = [("recent", half_even(0.30 * target), "recent")] + [(f"pop = '{tier}'", half_even(share * target), f"pop = '{tier}'") for tier, share in (("tail", 0.25), ("mid", 0.50), ("head", 0.25))] + [("true", target, "true")]
+    ctes = [
+        P,
+        f"""c1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY gmap_id ORDER BY {KEY}, review_id) AS n1 FROM pool) WHERE n1 <= 50)""",
+        f"""c2 AS (SELECT review_id, gmap_id, rating, ({as_of} - time) / 86400.0 <= 730 AS recent, CASE WHEN year(ts) <= 2018 THEN '<=2018' WHEN year(ts) <= 2021 THEN '2019-2021' WHEN year(ts) <= 2023 THEN '2022-2023' ELSE '2024+' END AS year_bin
+  FROM (SELECT *, make_timestamp(time * 1000000) AS ts, row_number() OVER (PARTITION BY user_id ORDER BY {KEY}, review_id) AS n2 FROM c1) WHERE n2 <= 10)""",
+        "sizes AS (SELECT gmap_id, count(*) AS n FROM c2 GROUP BY gmap_id)",
+        "q AS (SELECT quantile_cont(n, 0.33) AS a, quantile_cont(n, 0.66) AS b FROM sizes)",
+        "tiered AS MATERIALIZED (SELECT c2.*, CASE WHEN n <= a THEN 'tail' WHEN n <= b THEN 'mid' ELSE 'head' END AS pop FROM c2 JOIN sizes USING (gmap_id), q)",
+        "chosen0 AS (SELECT review_id FROM tiered WHERE false)",
+    ]
+    for i, (mask, most, counted) in enumerate(steps, 1):
+        have = "0" if mask == "recent" else f"(SELECT count(*) FROM tiered WHERE ({counted}) AND review_id IN (SELECT review_id FROM chosen{i - 1}))"
+        ctes += [
+            f"need{i} AS MATERIALIZED (SELECT greatest(0, {most} - {have}) AS n)",
+            f"left{i} AS MATERIALIZED (SELECT * FROM tiered WHERE {mask} AND review_id NOT IN (SELECT review_id FROM chosen{i - 1}))",
+            f"s{i} AS (SELECT rating, year_bin, count(*) AS c FROM left{i} GROUP BY ALL)",
+            f"q{i} AS (SELECT s.*, n, round_even(c * (n / sum(c) OVER ()), 0) AS q, row_number() OVER (ORDER BY c DESC, rating NULLS FIRST, year_bin NULLS FIRST) AS k FROM s{i} s, need{i})",
+            f"u{i} AS (SELECT rating, year_bin, q + CASE WHEN k <= abs(n - sum(q) OVER ()) THEN sign(n - sum(q) OVER ()) ELSE 0 END AS q FROM q{i})",
+            f"r{i} AS (SELECT l.review_id, q, row_number() OVER (PARTITION BY l.rating, l.year_bin ORDER BY {KEY.replace('review_id', 'l.review_id')}, l.review_id) AS n FROM left{i} l JOIN u{i} u ON l.rating = u.rating AND l.year_bin = u.year_bin)",
+            f"chosen{i} AS MATERIALIZED (SELECT review_id FROM chosen{i - 1} UNION ALL (SELECT review_id FROM r{i} ORDER BY n <= q DESC, {KEY}, review_id LIMIT (SELECT n FROM need{i})))",
+        ]
+    whole = f"(SELECT count(*) FROM tiered) <= {target}"
+    return f"WITH {', '.join(ctes)} SELECT review_id FROM tiered WHERE {whole} UNION ALL SELECT review_id FROM chosen{len(steps)} WHERE NOT {whole}"
+
+
+def half_even(x: float) -> int:
+    return int(round(x))
+
+
+@query(_sampler_sql(1000, 999_000_000))
 def full_sampler(spark, d):
-    """Invariants of the whole sampler on the orders: the size, distinct ids, the caps and the recency floor."""
+    """The ids that the whole sampler picks of the orders: a sampling operator, 1,000 rows."""
+    p = pool(spark, d).select("*", F.lit("some words").alias("text"))
     cfg = sampling.Sampler(target=1000, region=None)
-    as_of = 999_000_000  # within the orders' years
-    p = pool(spark, d)
-    base = p.select("*", F.lit("some words").alias("text"))
-    picked = materialize(base.join(sampling.sample_ids(sampling.prepared_pool(base, cfg, as_of), cfg), "review_id", "left_semi"))
-    by = lambda k: picked.groupBy(k).count().agg(F.coalesce(F.max("count"), F.lit(0)).alias("m"))
-    caps = by("gmap_id").select(F.col("m").alias("a")).join(by("user_id").select(F.col("m").alias("b")))  # one row each
-    recent = fields.is_recent(F.col("time"), as_of)
-    available = base.agg(F.sum(recent.cast("long")).alias("have"))
-    total = picked.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("review_id").alias("n_ids"), F.coalesce(F.sum(recent.cast("long")), F.lit(0)).alias("r"))
-    return total.join(caps).join(available).select("n", "n_ids", ((F.col("a") <= 50) & (F.col("b") <= 10)).alias("caps_hold"), ((F.col("r") >= F.least(F.col("have"), F.lit(300))) | (F.col("n") < 1000) | (F.col("have") < 300)).alias("recent_floor"))
+    return sampling.sample_ids(sampling.prepared_pool(p, cfg, 999_000_000), cfg).select("review_id")  # as_of: within the orders' years
 
 
 @query(f"""WITH votes AS (SELECT CAST(user_id AS VARCHAR) AS review_id, event_type AS annotator_id, CAST(value > 250 AS INTEGER) AS v, value / 500 AS s FROM events)
@@ -382,14 +404,13 @@ def gold_pack(spark, d):
 
 # --- splitting -------------------------------------------------------------------------------------
 
-_ALL = S.replace(" WHERE doc_id % 3 <> 0", "")
 _CUTS = """cuts AS (SELECT quantile_cont(ads_promo, 0.95) AS a, quantile_cont(spam_low_quality, 0.95) AS s, quantile_cont(irrelevant, 0.95) AS i, quantile_cont(rant_no_visit, 0.97) AS r FROM silver)"""
-_BINS = f"""{_ALL}, {_CUTS}, bins AS (SELECT silver.*, CAST(ads_promo > a AS INTEGER) AS ads_promo_bin, CAST(spam_low_quality > s AS INTEGER) AS spam_low_quality_bin,
+_BINS = f"""{S}, {_CUTS}, bins AS (SELECT silver.*, CAST(ads_promo > a AS INTEGER) AS ads_promo_bin, CAST(spam_low_quality > s AS INTEGER) AS spam_low_quality_bin,
   CAST(irrelevant > i AS INTEGER) AS irrelevant_bin, CAST(rant_no_visit > r AS INTEGER) AS rant_no_visit_bin FROM silver, cuts)"""
 
 
 def _bins(spark, d) -> DataFrame:
-    s = pseudo_silver(spark, d, every=True)
+    s = pseudo_silver(spark, d)
     return splitting.binarize(s, splitting.cuts(s, splitting.Split().prevalence))
 
 
@@ -399,11 +420,11 @@ def binarize_genuine(spark, d):
     return _bins(spark, d).select("review_id", *[f"{k}_bin" for k in BINARY], "genuine_bin")
 
 
-@query(f"""WITH {_ALL}, p AS (SELECT review_id, list_transform([ads_promo, spam_low_quality, irrelevant, rant_no_visit], lambda x: x + 1e-6) AS p FROM silver),
+@query(f"""WITH {S}, p AS (SELECT review_id, list_transform([ads_promo, spam_low_quality, irrelevant, rant_no_visit], lambda x: x + 1e-6) AS p FROM silver),
 q AS (SELECT review_id, list_transform(p, lambda x: x / list_sum(p)) AS q FROM p)
 SELECT review_id, round(greatest(0.05, least(1.0, 1 + list_sum(list_transform(q, lambda x: x * ln(x))) / ln(4))), 9) AS sample_weight FROM q""")
 def sample_weight(spark, d):
-    return rounded(pseudo_silver(spark, d, every=True).select("review_id", splitting.sample_weight().alias("sample_weight")))
+    return rounded(pseudo_silver(spark, d).select("review_id", splitting.sample_weight().alias("sample_weight")))
 
 
 _GROUPED = f"{R}, {_BINS}, rows AS (SELECT b.*, r.gmap_id, r.time FROM bins b JOIN reviews r USING (review_id))"
@@ -442,10 +463,36 @@ def group_split(spark, d):
     return splitting.assign(splitting.group_labels(_rows(spark, d), "user_id"), seed=SEED, group="user_id")
 
 
-@query()
+def _rebalance_sql() -> str:
+    """The split stage by user: enough positives in all, groups by label, and up to sixteen moves of whole groups."""
+    cfg = splitting.Split()
+    ctes = [R, _BINS, "rows0 AS (SELECT b.*, r.user_id FROM bins b JOIN reviews r USING (review_id) WHERE trim(coalesce(text, '')) <> '')"]
+    for k in BINARY:
+        ctes.append(f"top_{k} AS MATERIALIZED (SELECT user_id FROM (SELECT user_id, max({k}) AS s FROM rows0 GROUP BY user_id HAVING max({k}_bin) = 0) ORDER BY s DESC NULLS LAST, user_id LIMIT (SELECT greatest(0, {cfg.min_total[k]} - coalesce(sum({k}_bin), 0)) FROM rows0))")
+    marked = ", ".join(f"CASE WHEN user_id IN (SELECT user_id FROM top_{k}) THEN 1 ELSE {k}_bin END AS {k}_bin" for k in BINARY)
+    sums = ", ".join(f"CAST(sum({k}_bin) AS BIGINT) AS {k}_bin" for k in BINARY)
+    ctes += [
+        f"rows AS MATERIALIZED (SELECT review_id, user_id, {', '.join(BINARY)}, {marked} FROM rows0)",
+        _LABEL,
+        f"k AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(concat('{SEED}|', user_id)), user_id) - 1 AS i, count(*) OVER (PARTITION BY label) AS n FROM labelled)",
+        f"t0 AS MATERIALIZED (SELECT user_id, CASE WHEN i < round_even(n * 0.7::DOUBLE, 0) THEN 'train' WHEN i < round_even(n * 0.7::DOUBLE, 0) + round_even(n * 0.15::DOUBLE, 0) THEN 'val' ELSE 'test' END AS split, {', '.join(f'{k}_bin' for k in BINARY)} FROM k JOIN (SELECT user_id, {sums} FROM rows GROUP BY user_id) USING (user_id))",
+    ]
+    n = 0
+    for target, other in (("val", "test"), ("test", "val")):
+        for k in BINARY:
+            for donor in ("train", other):
+                want = f"(SELECT greatest(0, {cfg.min_per_split[target]} - coalesce(sum({k}_bin), 0)) FROM t{n} WHERE split = '{target}')"
+                ctes.append(f"m{n} AS MATERIALIZED (SELECT user_id FROM t{n} WHERE split = '{donor}' AND {k}_bin > 0 ORDER BY md5(concat('{SEED}|', user_id)), user_id LIMIT {want})")
+                ctes.append(f"t{n + 1} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN user_id IN (SELECT user_id FROM m{n}) THEN '{target}' ELSE split END AS split) FROM t{n})")
+                n += 1
+    total = ", ".join(f"CAST(sum(r.{k}_bin) AS BIGINT) AS {k}" for k in BINARY)
+    return f"WITH {', '.join(ctes)} SELECT split AS _split, count(*) AS n, {total} FROM rows r JOIN t{n} USING (user_id) GROUP BY split"
+
+
+@query(_rebalance_sql())
 def rebalanced_split(spark, d):
     """The whole split stage; rows and positives by split and label."""
-    rows = pseudo_silver(spark, d, every=True).join(reviews(spark, d), "review_id")
+    rows = pseudo_silver(spark, d).join(reviews(spark, d), "review_id")
     found, _, _ = splitting.split(rows, splitting.Split(group="user_id"))
     return splitting.coverage(found)
 
@@ -547,13 +594,13 @@ def policy_reasons(spark, d):
     return policy.reasons(_decided(spark, d))
 
 
-_UI = f"""{_ALL}, f AS (SELECT review_id, ads_promo >= 0.5 AS flag_ads, spam_low_quality >= 0.5 AS flag_spam, irrelevant >= 0.5 AS flag_irrelevant, rant_no_visit >= 0.5 AS flag_rant,
+_UI = f"""{S}, f AS (SELECT review_id, ads_promo >= 0.5 AS flag_ads, spam_low_quality >= 0.5 AS flag_spam, irrelevant >= 0.5 AS flag_irrelevant, rant_no_visit >= 0.5 AS flag_rant,
   relevancy_score >= 0.5 AND NOT irrelevant >= 0.5 AS relevant, visit_likelihood >= 0.5 AS visit_ok FROM silver),
 ui AS (SELECT *, relevant AND NOT (flag_ads OR flag_spam OR flag_rant) AND visit_ok AS genuine, flag_ads OR flag_spam OR flag_rant OR flag_irrelevant AS hold FROM f)"""
 
 
 def _preds(spark, d) -> DataFrame:
-    return pseudo_silver(spark, d, every=True).select("review_id", *[F.col(k).alias(f"pred_{k}") for k in schema.SCORES])
+    return pseudo_silver(spark, d).select("review_id", *[F.col(k).alias(f"pred_{k}") for k in schema.SCORES])
 
 
 @query(f"WITH {_UI} SELECT * FROM ui")
@@ -581,12 +628,13 @@ def substring_search(spark, d):
 # --- labelling and models (no SQL counterpart) -----------------------------------------------------
 
 
-@query()
+@query(r"""SELECT conv_id, turn, CASE WHEN NOT contains(coalesce(text, ''), chr(39)) THEN regexp_replace(regexp_replace(coalesce(text, ''), '```(json)?', '', 'gi'), '\b(assistant|user)\s*:\s*', '', 'gi') END AS k FROM conversations""")
 def json_extract(spark, d):
-    """The texts as JSON, found in answers with prose, fences and a trailing comma around it."""
+    """The texts as JSON, found in answers with prose, fences and a trailing comma around it, and read back; an apostrophe in one of them stops the repair, whose quotes are all alike."""
     said = F.to_json(F.struct(F.coalesce(F.col("text"), F.lit("")).alias("k")))
     answer = F.concat(F.lit("Sure: ```json\n"), F.regexp_replace(said, r"\}$", ",}"), F.lit("\n``` done"))
-    return table(spark, d, "conversations").select("conv_id", "turn", labeling.extract_json(answer).alias("json"))
+    found = table(spark, d, "conversations").select("conv_id", "turn", labeling.extract_json(answer).alias("json"))
+    return found.select("conv_id", "turn", F.get_json_object("json", "$.k").alias("k"))
 
 
 @query()

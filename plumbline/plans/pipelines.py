@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.schema import BINARY, CONTINUOUS, REVIEW, documents_as_reviews
 from plumbline.operators import annotation, features, joins, labeling, metrics, modeling, policy, rules, sampling, splitting
-from plumbline.sources import io
+from plumbline.sources import config, io
+from plumbline.sources.scratch import materialize
 
 
 def collect(reviews: DataFrame, meta: DataFrame | None, as_of: float, cfg: sampling.Sampler = sampling.Sampler(), on: str = "gmap_id", keep: list[str] | None = None) -> DataFrame:
@@ -25,7 +26,7 @@ def collect(reviews: DataFrame, meta: DataFrame | None, as_of: float, cfg: sampl
 
 def evaluate(base: DataFrame, preds: DataFrame, thresholds: dict, split: str = "test", id_key: str = "review_id", targets=BINARY) -> DataFrame:
     """8. One row a target: counts, precision, recall, f1, accuracy, roc_auc, pr_auc, brier."""
-    both = base.select(id_key, *targets).join(joins.keep_first(preds.select(id_key, *[f"pred_{k}" for k in targets]), [id_key]), id_key).na.drop(subset=[f"pred_{k}" for k in targets]).persist()
+    both = materialize(base.select(id_key, *targets).join(joins.keep_first(preds.select(id_key, *[f"pred_{k}" for k in targets]), [id_key]), id_key).na.drop(subset=[f"pred_{k}" for k in targets]))
     out = None
     for k in targets:
         t = float(thresholds.get(k, 0.5))
@@ -68,6 +69,9 @@ class Run:
     training: modeling.Training = field(default_factory=modeling.Training)
     policy_cfg: policy.Policy = field(default_factory=policy.Policy)
     n_silver: int = 2000
+    system_path: str | None = None
+    shots_path: str | None = None
+    debug: str | None = None
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
         path = getattr(self.paths, name)
@@ -89,7 +93,11 @@ class Run:
 
     def silver_labeling(self, make=lambda: labeling.heuristic, fuse: bool = False) -> DataFrame:
         base = self._read("rules")
-        labels = self._keep(labeling.silver(base, self.n_silver, self.sampler.seed, rules=base if fuse else None, make=make), "silver")
+        prompt = None
+        if self.system_path:
+            system, shots = config.prompts(self.system_path, self.shots_path)
+            prompt = {"system": system, "shots": shots}
+        labels = self._keep(labeling.silver(base, self.n_silver, self.sampler.seed, rules=base if fuse else None, make=make, prompt=prompt, debug=self.debug), "silver")
         return self._keep(joins.merge_with_base(base, labels), "silver_with_ids")
 
     def gold_build(self, **options) -> DataFrame:

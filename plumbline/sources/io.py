@@ -63,7 +63,7 @@ def read_sources(spark: SparkSession, patterns: list[str], schema: T.StructType
                     paths.append(path)
     if not found["review-"]:
         raise FileNotFoundError(f"no review files in {patterns}")
-    union = lambda paths, s: _union([read_any(spark, p, s) for p in paths])
+    union = lambda paths, s: _union(_frames(spark, paths, s))
     reviews = union(found["review-"], schema)
     text = F.col("text")
     trimmed = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
@@ -71,6 +71,25 @@ def read_sources(spark: SparkSession, patterns: list[str], schema: T.StructType
     return reviews, union(found["meta-"], None) if found["meta-"] else None
 
 
+def _frames(spark: SparkSession, paths: list[str], schema: T.StructType | None) -> list[DataFrame]:
+    """One DataFrame for all files of a format, so that plans don't grow with the files; CSV files without a schema may differ in their headers, so each is its own."""
+    kinds: dict[str, list[str]] = {}
+    for p in paths:
+        kinds.setdefault(format_of(p), []).append(p)
+    out = []
+    for kind, group in kinds.items():
+        r = spark.read.schema(schema) if schema else spark.read
+        if kind == "csv" and not (schema and len(group) > 1):
+            out += [read_any(spark, p, schema) for p in group]
+        elif kind == "csv":
+            out.append(nan_to_null(r.option("header", True).option("enforceSchema", False).option("multiLine", True).option("escape", '"').csv(group)))
+        elif kind == "parquet":
+            out.append(nan_to_null(r.option("mergeSchema", True).parquet(*group)))
+        else:
+            out.append(nan_to_null((r.option("multiLine", True) if kind == "array" else r).json(group)))
+    return out
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:

@@ -119,7 +119,8 @@ def test_joins(spark):
 
 def test_windows(spark):
     df = spark.createDataFrame([("g", "u", 1, "a"), ("g", "v", 3, "a"), ("h", "u", 5, "a"), (None, None, 2, None)], "gmap_id string, user_id string, rating int, text string")
-    got = df.select("rating", *[v.alias(k) for k, v in features.group_windows(df).items()]).orderBy("rating").collect()
+    joined, made = features.group_windows(df)
+    got = joined.select("rating", *[v.alias(k) for k, v in made.items()]).orderBy("rating").collect()
     assert [r.place_review_count for r in got] == [2, None, 2, 1]
     assert [r.text_dup_count_place for r in got] == [2, 1, 2, 1]
     assert got[0].place_rating_std == pytest.approx(2**0.5) and got[3].place_rating_std == 0.0
