@@ -4,9 +4,10 @@ The inputs are hashed words (binary counts, damped by length), structure
 statistics of the text and its size as metadata. The model is
 b + <w, x> + 1/2 * sum_f ((sum_i v_if x_i)^2 - sum_i v_if^2 x_i^2), so that all
 pairwise interactions cost time linear in the words. It is fitted by AdaGrad on
-at most MOST labelled documents outside the held-out fold (a documented bound);
-features are made by the executors, and only sparse vectors of that bounded
-sample reach the driver. Every document is scored in Arrow batches, on its
+at most MOST labelled documents outside the held-out fold, of one text an id, and
+at most features.MOST_BYTES of their vectors (documented bounds); features are
+made by the executors, and only sparse vectors of that sample reach the driver.
+Every document is scored in Arrow batches, on its
 whole text.
 
 Labels, lang, source and doc_id are no inputs. Edge cases: a null or empty text
@@ -25,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.features import bucket, fold, training_sample
+from plumbline.llm.features import MOST_BYTES, bounded, bucket, fold, training_sample
 
 BITS = 16
 RANK = 4
@@ -119,15 +120,15 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int, float]], rank: int = RANK,
     return m
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 4, held_out: int = 2, most: int = MOST) -> Machine:
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 4, held_out: int = 2, most: int = MOST, most_bytes: int = MOST_BYTES) -> Machine:
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict[str, int] = {}
         for batch in batches:
             pairs = [vector(t, cache) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"], "weight": batch["weight"], "idx": [p[0].astype(np.int32) for p in pairs], "val": [p[1].astype(np.float32) for p in pairs]})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"], "weight": batch["weight"], "size": [8 * len(p[0]) for p in pairs], "idx": [p[0].astype(np.int32) for p in pairs], "val": [p[1].astype(np.float32) for p in pairs]})
 
     sample = training_sample(docs, labels, label, folds, held_out, most)
-    found = sample.mapInPandas(encode, "doc_id long, y int, weight double, idx array<int>, val array<float>").toPandas()
+    found = bounded(sample.mapInPandas(encode, "doc_id long, y int, weight double, size long, idx array<int>, val array<float>"), most_bytes).toPandas()
     found = found.sort_values(["doc_id", "y"], kind="stable")
     return fit([(np.asarray(i, np.int64), np.asarray(v, float), int(y), float(w)) for i, v, y, w in zip(found["idx"], found["val"], found["y"], found["weight"], strict=True)])
 

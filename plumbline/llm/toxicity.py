@@ -5,8 +5,8 @@ counted once, so one insult counts in a text of any length). Training adds a pen
 changes under counterfactuals: in each sentence of a labelled text that
 mentions an identity term, the term is swapped for the others of its group and
 for nothing, and the squared change of the sentence's logit is penalised. Words of the model
-come from at most MOST labelled texts outside the held-out fold (a documented
-bound); an L1 step keeps those that matter, so that scoring looks up whole
+come from at most MOST labelled texts outside the held-out fold, of one text an
+id, and at most features.MOST_BYTES of their words (documented bounds); an L1 step keeps those that matter, so that scoring looks up whole
 words and needs no hashing.
 
 Labels, lang, source and doc_id are no inputs. Edge cases: a null or empty text
@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.features import fold, training_sample
+from plumbline.llm.features import MOST_BYTES, bounded, fold, training_sample
 
 MOST = 6000
 #: Words in fewer sampled texts are left out.
@@ -164,7 +164,7 @@ def fit(texts: list[str], y: list[int], weight: list[float] | None = None, penal
     return Model(bias, {x: float(v) for x, v in zip(kept, w, strict=True) if abs(v) > 1e-6})
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5, held_out: int = 0, most: int = MOST) -> Model:
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5, held_out: int = 0, most: int = MOST, most_bytes: int = MOST_BYTES) -> Model:
     """The distinct words of the sampled texts' sentences are made by the executors; the driver gets that bounded sample only."""
 
     def shorten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -174,10 +174,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
                 # Sentences without identity terms serve as one bag of words.
                 named = [s for s in _SENTENCE.split(text) if GROUP.keys() & set(words_of(s))]
                 kept.append(". ".join([" ".join(sorted(set(words_of(text)) - GROUP.keys())), *named]))
-            yield batch.assign(text=kept)
+            yield batch.assign(text=kept, size=[len(t.encode("utf-8", "surrogatepass")) for t in kept])
 
     sample = training_sample(docs, labels, label, folds, held_out, most)
-    found = sample.mapInPandas(shorten, "doc_id long, text string, y int, weight double").toPandas().sort_values(["doc_id", "y", "text"])
+    found = bounded(sample.mapInPandas(shorten, "doc_id long, text string, y int, weight double, size long"), most_bytes).toPandas().sort_values(["doc_id", "y", "text"])
     return fit(found["text"].tolist(), found["y"].tolist(), found["weight"].tolist())
 
 
