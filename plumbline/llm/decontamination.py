@@ -10,28 +10,36 @@ is no shuffle: a document's answer needs only its own shard.
 Suffixes that can't reach a window are left out of the array: those with a word
 that no item has before the shortest window ends.
 
-The items go to the executors in blocks of at most BLOCK_BYTES of text; each
-block is one pass over the documents, so a larger benchmark takes more passes,
-never more memory.
+The items go to the executors in blocks of at most BLOCK_BYTES of text. Each
+block is one pass over the documents, whose hits are written before the next
+pass begins, so a larger benchmark takes more passes, never more memory.
 
 Edge cases: a null or empty text has no words and is clean. An item without
 words has no windows; one of fewer words than the window is one window.
-Repeated documents are treated row by row, repeated item_ids as one item.
+Repeated documents are treated row by row, repeated item_ids as one item. Items
+without an id count as one item together: their windows hit like any other, they
+add one to n_items, and nothing to the hash of the ids.
 Extra columns don't matter. No items: all documents are clean.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.common import materialize
+
 WINDOW = 10
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 SHARD_WORDS = 1 << 20
+#: Suffixes in one suffix array at most, so that a very long text is searched in parts.
+ARRAY_SUFFIXES = 1 << 18
 #: Bytes that aren't in a word (after lower-casing) become blanks.
 _BLANK = bytes(c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else 0x20 for c in range(256))
 
@@ -43,10 +51,10 @@ def words_of(text: str | None) -> list[bytes]:
 class TestSuffixes:
     """The items' words as numbers, and their distinct windows."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, str]], window: int = WINDOW):
         self.number: dict[bytes, int] = {}
         places: dict[tuple[int, ...], list[tuple[int, int]]] = {}
-        self.ids: list[str] = []
+        self.ids: list[str | None] = []
         for item_id, text in items:
             nums = [self.number.setdefault(w, len(self.number) + 1) for w in words_of(text)]
             k = len(self.ids)
@@ -72,9 +80,13 @@ class TestSuffixes:
         at = np.flatnonzero(known[m:] - known[:-m] == m) if len(shard) >= m else none
         if not len(at):
             return none, none
-        w = self.window
-        padded = np.concatenate((shard, np.zeros(w, shard.dtype)))
-        keys = padded[at[:, None] + np.arange(w)]
+        padded = np.concatenate((shard, np.zeros(self.window, shard.dtype)))
+        parts = [self._places(padded, at[k : k + ARRAY_SUFFIXES]) for k in range(0, len(at), ARRAY_SUFFIXES)]
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+    def _places(self, padded: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(window, place) pairs among the suffixes that begin at `at`."""
+        keys = padded[at[:, None] + np.arange(self.window)]
         order = np.lexsort(keys.T[::-1])
         array, keys = at[order], keys[order]  # the suffix array, to the depth of a window
         low, high = self._bound(keys, False), self._bound(keys, True)
@@ -131,7 +143,7 @@ class TestSuffixes:
                 spans[-1][1] = max(spans[-1][1], end)
             else:
                 spans.append([p, end])
-        items = sorted({self.ids[k] for w in np.unique(which).tolist() for k, _ in self.places[w]})
+        items = sorted({self.ids[k] for w in np.unique(which).tolist() for k, _ in self.places[w]}, key=lambda x: (x is None, x))
         longest: dict[tuple[int, int], list[int]] = {}  # by item and diagonal: the open match
         found: list[dict] = []
         close = lambda k, x: found.append({"item_id": self.ids[k], "item_start": x[2], "doc_start": x[0], "n_words": x[1] - x[0]})
@@ -150,10 +162,10 @@ class TestSuffixes:
         return [tuple(x) for x in spans], items, found
 
 
-def item_blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[list[tuple[str, str]]]:
+def item_blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[list[tuple[str | None, str]]]:
     """(item_id, text) in blocks of at most `most` bytes (or one item); streamed, so the driver holds one block at a time."""
     block, held = [], 0
-    rows = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").cast("string").alias("t")).where("i IS NOT NULL AND t IS NOT NULL")
+    rows = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").cast("string").alias("t")).where("t IS NOT NULL")
     for row in rows.toLocalIterator():
         n = len(row.t.encode("utf-8", "surrogatepass"))
         if block and held + n > most:
@@ -185,30 +197,45 @@ def _finder(suffixes):
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, column: str = "text", name: str = "hit") -> DataFrame:
     """docs with a struct column: n_words, spans (merged hit words), items and matches (the longest verbatim ones)."""
-    spark = docs.sparkSession
-    out, names = docs, []
-    for i, block in enumerate(item_blocks(benchmark)):
-        names.append(f"__block{i}")
-        find = _finder(spark.sparkContext.broadcast(TestSuffixes(block, window)))
-        out = out.withColumn(names[-1], find(F.coalesce(F.col(column).cast("string"), F.lit(""))))
-    if not names:
-        count = F.size(F.regexp_extract_all(F.coalesce(F.col(column), F.lit("")), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), F.lit(0))).cast("long")
+    share = docs.sparkSession.sparkContext.broadcast
+    text = F.coalesce(F.col(column).cast("string"), F.lit(""))
+    blocks = item_blocks(benchmark)
+    first, second = next(blocks, None), next(blocks, None)
+    if first and not second:
+        return docs.withColumn(name, _finder(share(TestSuffixes(first, window)))(text))
+    count = F.size(F.regexp_extract_all(text, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), F.lit(0))).cast("long")
+    if not first:
         empty = F.from_json(F.lit('{"spans":[],"items":[],"matches":[]}'), MATCHES)
         return docs.withColumn(name, empty.withField("n_words", count))
-    if len(names) == 1:
-        return out.withColumnRenamed(names[0], name)
-    # Merge the blocks' answers in each row; an item is whole within one block, equal ids may be in several.
-    both = lambda field: F.flatten(F.array(*[F.col(n)[field] for n in names]))
+    # One block a pass: each writes its hits, so that a task holds one block only.
+    base = materialize(docs.withColumn("__place", F.monotonically_increasing_id()))
+    passes = []
+    for block in chain((first, second), blocks):
+        shared = share(TestSuffixes(block, window))
+        hits = base.select("__place", _finder(shared)(text).alias("h")).where(F.size("h.spans") > 0)
+        passes.append(materialize(hits.select("__place", "h.spans", "h.items", "h.matches")))
+        shared.destroy()
+    every = reduce(DataFrame.unionByName, passes)
+    gathered = every.groupBy("__place").agg(*[F.flatten(F.collect_list(c)).alias(f"__{c}") for c in ("spans", "items", "matches")])
+    # A text's spans of several blocks, merged; an item is whole within one block, equal ids may be in several.
     spans = F.aggregate(
-        F.array_sort(both("spans")),
+        F.array_sort("__spans"),
         F.array().cast("array<struct<start:long,end:long>>"),
         lambda acc, x: F.when(
             (F.size(acc) > 0) & (x["start"] <= F.element_at(acc, -1)["end"]),
             F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], x["end"]).alias("end")))),
         ).otherwise(F.concat(acc, F.array(x))),
     )
-    merged = F.struct(F.col(names[0])["n_words"].alias("n_words"), spans.alias("spans"), F.array_sort(F.array_distinct(both("items"))).alias("items"), both("matches").alias("matches"))
-    return out.withColumn(name, merged).drop(*names)
+    none = lambda c, kind: F.coalesce(F.col(c), F.array().cast(kind))
+    gathered = gathered.select("__place", spans.alias("__spans"), F.array_sort(F.array_distinct("__items")).alias("__items"), "__matches")
+    both = base.join(gathered, "__place", "left")
+    hit = F.struct(
+        count.alias("n_words"),
+        none("__spans", "array<struct<start:long,end:long>>").alias("spans"),
+        none("__items", "array<string>").alias("items"),
+        none("__matches", "array<struct<item_id:string,item_start:long,doc_start:long,n_words:long>>").alias("matches"),
+    )
+    return both.select(*docs.columns, hit.alias(name))
 
 
 def op5(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
