@@ -15,7 +15,10 @@ discoveries at FDR; it needs only counts by stratum and p-value bin, a table of
 fixed size.
 
 Everything is DataFrame expressions. Positions of matches come from the gaps
-between them (split) and a prefix sum by doubling.
+between them (split) and a prefix sum by doubling; candidates that overlap a base
+span are found by a prefix maximum of ends and a suffix minimum of starts, in the
+same way, so a text with very many of both takes n log n. Texts are read once:
+spans and tests, which are small, are written before the thresholds are counted.
 
 Edge cases: a null or empty text has no spans. Repeated rows are treated row by
 row, though each counts in the false-discovery rate. Empty input, empty output;
@@ -29,7 +32,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import let, text_of
+from plumbline.llm.common import let, materialize, text_of
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -72,6 +75,27 @@ def _places(text: Column, pattern: str, kind: str, good=None) -> Column:
 SPANS = "array<struct<kind:string,start:bigint,end:bigint,value:string>>"
 
 
+def _scan(values: Column, op, step: int) -> Column:
+    """The running op over an array, from the front (step -1) or the back (step 1), by doubling."""
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)).cast("double"))).cast("int"))
+    near = lambda a, i, k: F.get(a, i + step * F.pow(F.lit(2.0), k).cast("int"))
+    return F.aggregate(rounds, values, lambda a, k: F.transform(a, lambda x, i: op(x, F.coalesce(near(a, i, k), x))))
+
+
+def _free(tokens: Column, base: Column) -> Column:
+    """The tokens (apart from each other) that overlap no base span."""
+    entry = lambda kind: lambda s: F.struct(s["start"].alias("start"), F.lit(kind).alias("token"), s["end"].alias("end"), s["value"].alias("value"))
+
+    def sweep(m: Column) -> Column:
+        ends = _scan(F.transform(m, lambda x: F.when(x["token"] == 0, x["end"]).otherwise(F.lit(-1).cast("long"))), F.greatest, -1)
+        starts = _scan(F.transform(m, lambda x: F.when(x["token"] == 0, x["start"]).otherwise(F.lit((1 << 62)).cast("long"))), F.least, 1)
+        return let(F.struct(ends.alias("ends"), starts.alias("starts")), lambda s: F.filter(m, lambda x, i: (x["token"] == 1) & (F.get(s["ends"], i) <= x["start"]) & (F.get(s["starts"], i) >= x["end"])))
+
+    merged = F.sort_array(F.concat(F.transform(base, entry(0)), F.transform(tokens, entry(1))))
+    kept = F.transform(let(merged, sweep), lambda x: F.struct(F.lit("random").alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value")))
+    return F.when((F.size(base) == 0) | (F.size(tokens) == 0), tokens).otherwise(kept)
+
+
 def base_spans(text: Column) -> Column:
     ok = lambda v: F.length(F.regexp_extract(v, ASSIGN, 1)) >= 6
     # Without a run long enough there is no match to keep, so most texts skip the exact walk over all short runs.
@@ -142,8 +166,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     df = df.select("doc_id", F.struct(base.alias("base"), tokens.alias("tokens")).alias("__x"))
 
     def tested(x: Column) -> Column:
-        free = F.filter(x["tokens"], lambda t: ~F.exists(x["base"], lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-        return F.struct(x["base"].alias("base"), F.transform(free, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), _battery(t["value"]).alias("test"))).alias("tested"))
+        return F.struct(x["base"].alias("base"), F.transform(_free(x["tokens"], x["base"]), lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), _battery(t["value"]).alias("test"))).alias("tested"))
 
     return df.select("doc_id", let(F.col("__x"), tested).alias("__x")).select("doc_id", "__x.base", "__x.tested")
 
@@ -177,7 +200,7 @@ def detect(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     The accepted bins, at most encodings * (strata + 1) rows, come to the driver
     and go back as literals.
     """
-    tested = candidates(docs)
+    tested = materialize(candidates(docs))
     lasts = {r["stratum"]: r["last"] for r in thresholds(tested, fdr).collect()}
     plain = "array<struct<kind:string,start:bigint,end:bigint>>"
 
