@@ -1,10 +1,12 @@
 """Personal data by weak supervision (operator 3).
 
 Candidates are the base matches (email, ip, card, phone) and near misses: the
-same shapes under looser patterns. Labelers vote on each candidate: a pattern
-labeler (strict form), gazetteers (reserved address ranges, card issuer
-prefixes, country calling codes, top-level domains) and context labelers (words
-just before the candidate). Expectation-maximisation on the counts of vote
+same shapes under looser patterns. Five labelers vote on each candidate, from
+different evidence: its structure (grouping, check digit, number ranges),
+gazetteers (reserved address ranges, card issuers with their lengths, country
+calling codes, top-level domains), words just before it that speak for the kind,
+words that speak against it (versions, orders, part numbers), and the document
+(whether other personal data stands near it). Expectation-maximisation on the counts of vote
 patterns (a table of fixed size) estimates each labeler's reliability for each
 kind, and with it a posterior for each pattern. A final logistic span
 classifier is trained on the candidates' features, with the posteriors as soft
@@ -32,10 +34,12 @@ from pyspark.sql import functions as F
 from plumbline.llm.common import let, materialize
 
 KINDS = ("email", "ip", "card", "phone")
-LABELERS = ("pattern", "gazetteer", "context", "contrary")
+LABELERS = ("structure", "gazetteer", "context", "contrary", "document")
 #: A candidate's feature mask: two bits a labeler (voted yes, voted no), then shape bits.
 FEATURES = 2 * len(LABELERS) + 3
 CONTEXT = 40
+#: Characters within which other candidates count as near.
+NEAR = 200
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _EMAIL_TAIL = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -51,9 +55,9 @@ _CONTEXT = {
     "card": re.compile(r"card|visa|master|amex|credit|debit|payment|karte|carte|tarjeta", re.I),
     "phone": re.compile(r"phone|\btel\b|call|mobile|cell|fax|contact|telefon|téléphone|teléfono", re.I),
 }
-_CONTRARY = re.compile(r"version|\bv\.?$|isbn|order|serial|invoice|section|figure|page|model|build|\bid\b", re.I)
-#: Issuer prefixes of payment cards, generic top-level domains, and country calling codes by first digits.
-_ISSUERS = ("4", "51", "52", "53", "54", "55", "22", "23", "24", "25", "26", "27", "34", "37", "36", "38", "60", "62", "64", "65", "35")
+_CONTRARY = re.compile(r"version|\bv\.?$|isbn|order|serial|invoice|section|figure|page|model|build|release|chapter|\bsku\b|part (?:no|number)|tracking|\bid\b", re.I)
+#: Issuer prefixes of payment cards with the lengths of their numbers, generic top-level domains, and country calling codes by first digits.
+_ISSUERS = {"4": (13, 16, 19), "51": (16,), "52": (16,), "53": (16,), "54": (16,), "55": (16,), "22": (16,), "23": (16,), "24": (16,), "25": (16,), "26": (16,), "27": (16,), "34": (15,), "37": (15,), "36": (14, 16, 19), "38": (14, 16, 19), "60": (16, 19), "62": (16, 17, 18, 19), "64": (16, 19), "65": (16, 19), "35": (16, 19)}
 _DOMAINS = frozenset("com org net edu gov mil int info io co us uk de fr es it nl eu ca au jp cn in br ru ch at be se no dk pl".split())
 _CALLING = ("1", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "5", "6", "7", "81", "82", "84", "86", "9")
 
@@ -114,22 +118,45 @@ def _near_misses(text: str) -> Iterator[tuple[int, int, str]]:
             yield m.start(), m.end(), "email"
 
 
-def votes(text: str, start: int, end: int, kind: str, base: bool) -> tuple[int, int]:
+def _structured(s: str, d: str, kind: str) -> bool | None:
+    """Whether a candidate is built as its kind is written; None: it doesn't say."""
+    if kind == "email":
+        local, _, host = s.partition("@")
+        if not host:
+            return None  # an obfuscated one
+        return not (local.startswith(".") or local.endswith(".") or ".." in local) and all(x.strip("-") == x for x in host.split(".")) and host.rpartition(".")[2].isalpha()
+    if kind == "ip":
+        parts = s.split(".")
+        return _small(parts) and all(x == "0" or not x.startswith("0") for x in parts)
+    if kind == "card":
+        groups = [len(x) for x in re.split(r"[ -]", s)]
+        even = len(groups) == 1 or groups in ([4, 6, 5], [4, 6, 4]) or (set(groups[:-1]) == {4} and groups[-1] <= 4)
+        return luhn(d) and even
+    marks = set(re.findall(r"(?<=[0-9])[ .-](?=[0-9])", s))
+    return s.count("(") == s.count(")") and len(marks) <= 1
+
+
+def _listed(s: str, d: str, kind: str) -> bool:
+    """Whether a gazetteer has the candidate's telling part."""
+    if kind == "email":
+        return re.split(r"[.\s)\]]+", s.lower())[-1] in _DOMAINS
+    if kind == "ip":
+        first = int(s.split(".")[0][-3:])
+        return _small(s.split(".")) and 0 < first < 224 and first != 127
+    if kind == "card":
+        return any(d.startswith(x) and len(d) in lengths for x, lengths in _ISSUERS.items())
+    if s[0] == "+":
+        return d.startswith(_CALLING)
+    return len(d) == 10 and d[0] not in "01" and d[3] not in "01"  # the form of a number without a calling code
+
+
+def votes(text: str, start: int, end: int, kind: str, near: bool) -> tuple[int, int]:
     """The candidate's vote pattern (two bits a labeler) and feature mask."""
     s, before = text[start:end], text[max(0, start - CONTEXT) : start]
     d = _digits(s)
-    if kind == "email":
-        listed = re.split(r"[.\s)\]]+", s.lower())[-1] in _DOMAINS
-    elif kind == "ip":
-        first = int(s.split(".")[0][-3:])
-        listed = 0 < first < 224 and first != 127
-    elif kind == "card":
-        listed = d.startswith(_ISSUERS)
-    else:
-        listed = (d if s[0] == "+" else "1").startswith(_CALLING)
-    context = bool(_CONTEXT[kind].search(before))
-    yes = (base, listed, context, False)
-    no = (not base and kind in ("ip", "card"), not listed, False, bool(_CONTRARY.search(before)))
+    built, listed = _structured(s, d, kind), _listed(s, d, kind)
+    yes = (built is True, listed, bool(_CONTEXT[kind].search(before)), False, near)
+    no = (built is False, not listed, False, bool(_CONTRARY.search(before)), False)
     pattern = sum(1 << (2 * i) for i, v in enumerate(yes) if v) | sum(1 << (2 * i + 1) for i, v in enumerate(no) if v)
     edge = (start > 0 and text[start - 1].isalnum()) or (end < len(text) and text[end].isalnum())
     grouped = kind in ("card", "phone") and any(not c.isdigit() for c in s[1:])
@@ -165,8 +192,10 @@ def _spans(text: str) -> list[dict]:
             out.append((a, b, kind, False))
             last = b
     rows = []
-    for a, b, kind, is_base in out:
-        pattern, mask = votes(text, a, b, kind, is_base)
+    out.sort()
+    for i, (a, b, kind, is_base) in enumerate(out):
+        near = (i > 0 and a - out[i - 1][1] <= NEAR) or (i + 1 < len(out) and out[i + 1][0] - b <= NEAR)
+        pattern, mask = votes(text, a, b, kind, near)
         rows.append({"kind": kind, "start": a, "end": b, "votes": pattern, "features": mask, "base": is_base})
     return rows
 
