@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.sources.scratch import delete, materialize, new_path, tidy
+
+__all__ = ["WORD", "bucketed", "joined", "let", "materialize", "table", "text_of"]
+
 #: A word: any run of characters without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -28,62 +30,27 @@ def text_of(df: DataFrame, column: str = "text") -> Column:
     return F.coalesce(df[column].cast("string"), F.lit(""))
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which all executors share; a temporary folder only for a local master."""
-    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith(("local[", "local")) or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = tempfile.mkdtemp(prefix="plumbline-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-@contextmanager
-def tidy(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of the writes inside go as soon as each write ends; what it wrote stands for them from there on."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """df, written once as Parquet under scratch_root() and read again.
-
-    It cuts the lineage like checkpoint(), but runs the plan once, compresses,
-    and lets later reads prune columns. A lost executor costs nothing that was
-    written.
-    """
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/plumbline/{uuid.uuid4().hex}"
-    with tidy(spark):
-        df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def joined(spans: Column, kinds: tuple[str, ...]) -> Column:
+    """kind:start:end of spans by start, then kind as listed, comma-joined."""
+    rank = lambda s: F.array_position(F.array(*[F.lit(k) for k in kinds]), s["kind"]).cast("int")
+    ordered = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), rank(s).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    return F.array_join(F.transform(ordered, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def bucketed(df: DataFrame, key: str) -> tuple[DataFrame, callable]:
-    """df written once under scratch_root(), bucketed and sorted by key, so that later joins and groupings by key read it in place.
+def bucketed(df: DataFrame, key: str) -> tuple[DataFrame, Callable[[], None]]:
+    """df written once to the shared folder, bucketed and sorted by key, so that later joins and groupings by key read it in place.
 
     Also returns a function that drops the table and its files.
     """
     spark = df.sparkSession
     name = f"plumbline_{uuid.uuid4().hex}"
-    path = f"{scratch_root(spark)}/plumbline/{name}"
+    path = new_path(spark, name)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     with tidy(spark):
         df.write.format("parquet").option("parquet.dictionary.page.size", str(8 << 20)).bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(name)
 
     def drop() -> None:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        jvm = spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        delete(spark, path)
 
     return spark.table(name), drop

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import let, materialize
+from plumbline.llm.common import joined, let, materialize
 
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = ("structure", "gazetteer", "context", "contrary", "document")
@@ -262,13 +262,6 @@ def detect(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     return found.select("doc_id", F.filter(F.transform("spans", rated), lambda s: s["base"] | (s["score"] >= threshold)).alias("spans"))
 
 
-def joined(spans, kinds: tuple[str, ...]):
-    """kind:start:end by start, then kind as listed, comma-joined."""
-    rank = lambda s: F.array_position(F.array(*[F.lit(k) for k in kinds]), s["kind"]).cast("int")
-    ordered = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), rank(s).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    return F.array_join(F.transform(ordered, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-
-
 def op3(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans."""
     def digest(spans: Column) -> Column:

@@ -32,7 +32,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import let, materialize, text_of
+from plumbline.llm.common import joined, let, materialize, text_of
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -215,15 +215,8 @@ def detect(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     return tested.select("doc_id", only(F.col("base")).alias("base"), F.concat(only(F.col("base")), added).alias("spans"))
 
 
-def joined(spans: Column, kinds: tuple[str, ...] = KINDS) -> Column:
-    """kind:start:end by start, then kind as listed, comma-joined."""
-    rank = lambda s: F.array_position(F.array(*[F.lit(k) for k in kinds]), s["kind"]).cast("int")
-    ordered = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), rank(s).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    return F.array_join(F.transform(ordered, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-
-
 def op1(docs: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans."""
     d = detect(docs)
     n = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    return d.select("doc_id", *[n(k) for k in KINDS[:3]], F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    return d.select("doc_id", *[n(k) for k in KINDS[:3]], F.sha2(joined(F.col("base"), KINDS), 256).alias("base_sha256"), joined(F.col("spans"), KINDS).alias("spans"))
