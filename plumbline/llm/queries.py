@@ -21,5 +21,6 @@ QUERIES = {
 ORACLES = {
     "op2_license_scan": licenses.ORACLE,
     "op5_decontamination": decontamination.ORACLE,
+    "op7_mixing": mixing.ORACLE,
     "op8_quality_rules": quality_rules.ORACLE,
 }
