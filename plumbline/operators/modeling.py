@@ -164,3 +164,14 @@ def load(path: str, spark) -> dict[str, Head]:
         cal = IsotonicRegressionModel.load(f"{path}/{x['target']}-calibrator") if x["isotonic"] else tuple(x["sigmoid"]) if x["sigmoid"] else None
         out[x["target"]] = Head(x["target"], PipelineModel.load(f"{path}/{x['target']}"), x["features"], cal, x["threshold"])
     return out
+
+
+def predict_one(heads: dict[str, Head], row: dict, spark) -> dict[str, float]:
+    """Scores of one review, given as a dict: target -> score within 0 and 1; features it lacks are 0."""
+    if not heads:
+        return {}
+    names = next(iter(heads.values())).features
+    value = lambda x: float(x) if isinstance(x, (int, float)) and not isinstance(x, bool) else float(bool(x)) if isinstance(x, bool) else None
+    df = spark.createDataFrame([("", *[value(row.get(c)) for c in names])], T.StructType([T.StructField("review_id", T.StringType()), *[T.StructField(c, T.DoubleType()) for c in names]]))
+    found = predict(df, heads).first()
+    return {k: min(1.0, max(0.0, found[f"pred_{k}"])) for k in heads}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
 
@@ -32,6 +33,16 @@ def read_any(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return nan_to_null((r.option("multiLine", True) if kind == "array" else r).json(path))
 
 
+def read_cached(spark: SparkSession, path: str) -> DataFrame:
+    """read_any with Spark's cache behind it: the same path is read once a session, until spark.catalog.clearCache()."""
+    view = f"plumbline_{hashlib.md5(path.encode()).hexdigest()}"
+    if not spark.catalog.tableExists(view):
+        read_any(spark, path).createTempView(view)
+    if not spark.catalog.isCached(view):
+        spark.catalog.cacheTable(view)
+    return spark.table(view)
+
+
 def try_read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     """None for a missing path or an unknown type."""
     from pyspark.errors import AnalysisException

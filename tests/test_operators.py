@@ -211,6 +211,11 @@ def test_models(spark, tmp_path):
     modeling.save(heads, str(tmp_path / "m"), spark)
     again = modeling.predict(val, modeling.load(str(tmp_path / "m"), spark))
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, modeling.predict(val, heads).collect()))
+    some = val.first()
+    one = modeling.predict_one(heads, {"a": some.a, "b": some.b, "c": some.c, "text": "ignored"}, spark)
+    many = modeling.predict(val.where(F.col("review_id") == some.review_id), heads).first()
+    assert one == {k: pytest.approx(many[f"pred_{k}"]) for k in heads} and modeling.predict_one({}, {}, spark) == {}
+    assert modeling.predict_one(heads, {}, spark) == modeling.predict_one(heads, {"a": None, "b": float("nan")}, spark)
     assert modeling.train_binary(train.withColumn("ads_promo", F.lit(0.0)), val, "ads_promo", ["a"], cfg) is None
     sig = modeling.train_binary(train, val, "ads_promo", ["a"], modeling.Training(trees=3, depth=2, calibrate="sigmoid", tune=True))
     assert isinstance(sig.calibrator, tuple) and 0 <= sig.threshold <= 1

@@ -109,3 +109,11 @@ def test_prompts_and_raw_answers(spark, tmp_path):
 def test_scratch_is_cleared(spark):
     df = scratch.materialize(spark.range(3))
     assert df.count() == 3 and scratch.clear(spark) >= 1 and scratch.clear(spark) == 0
+
+
+def test_cached_reader(spark, tmp_path):
+    path = str(tmp_path / "x.parquet")
+    spark.range(3).write.parquet(path)
+    first, again = io.read_cached(spark, path), io.read_cached(spark, path)
+    assert first.count() == again.count() == 3 and again.storageLevel.useMemory
+    spark.catalog.clearCache()
