@@ -83,7 +83,7 @@ class Head:
 def balanced(df: DataFrame, label: str) -> DataFrame:
     """df with weight N / (2 * N of the row's class)."""
     n = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
-    total = sum(n.values())
+    total = max(1, sum(n.values()))
     return df.withColumn("__w", F.when(F.col(label) == 1, total / (2.0 * n.get(1, total))).otherwise(total / (2.0 * n.get(0, total))))
 
 
@@ -117,10 +117,14 @@ def calibrator(scored: DataFrame, method: str = "isotonic"):
     return float(fitted.coefficients[0]), float(fitted.intercept)
 
 
-def train_regression(train: DataFrame, val: DataFrame, target: str, features: list[str], cfg: Training = Training()) -> Head:
+def train_regression(train: DataFrame, val: DataFrame, target: str, features: list[str], cfg: Training = Training()) -> Head | None:
+    """A regressor of the score, stopped on val; None without rows to train on."""
     y = number(F.col(target))
     both = train.withColumns({"__y": y, "__val": F.lit(False)}).unionByName(val.withColumns({"__y": y, "__val": F.lit(True)}), allowMissingColumns=True).where("__y IS NOT NULL")
     both = assembled(both, features).select("features", "__y", "__val").persist()
+    if both.where("NOT __val").isEmpty():
+        both.unpersist()
+        return None
     gbt = GBTRegressor(labelCol="__y", maxIter=cfg.trees, maxDepth=cfg.depth, stepSize=cfg.rate, subsamplingRate=cfg.subsample, minInstancesPerNode=cfg.min_rows, seed=cfg.seed)
     head = Head(target, Pipeline(stages=[gbt if both.where("__val").isEmpty() else gbt.setValidationIndicatorCol("__val")]).fit(both), features)
     both.unpersist()

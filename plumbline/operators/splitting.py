@@ -158,17 +158,19 @@ def rebalance(table: DataFrame, labels=BINARY, min_per_split: dict | None = None
 
     table: group, split and <label>_bin sums, one row a group. Each move is one
     limit over that table: first from train, then from the other split; as many
-    groups move as positives are missing. The table is written after each move,
-    so that plans stay short.
+    groups move as positives were missing, however many each of them has. The
+    table is written after each move, so that plans stay short.
     """
     for target in ("val", "test"):
         for k in labels:
+            have = table.where(F.col("split") == target).agg(F.coalesce(F.sum(f"{k}_bin"), F.lit(0)).alias("n")).first()["n"]
+            want = (min_per_split or {}).get(target, 0) - have
             for donor in ("train", "test" if target == "val" else "val"):
-                have = table.where(F.col("split") == target).agg(F.coalesce(F.sum(f"{k}_bin"), F.lit(0)).alias("n")).first()["n"]
-                want = (min_per_split or {}).get(target, 0) - have
                 if want <= 0:
                     break
                 moved = table.where((F.col("split") == donor) & (F.col(f"{k}_bin") > 0)).orderBy(order_key(seed, group), group).limit(int(want)).select(F.col(group).alias("__g"), F.lit(True).alias("__move"))
+                moved = materialize(moved)
+                want -= moved.count()
                 joined = table.join(F.broadcast(moved), table[group].eqNullSafe(moved["__g"]), "left")  # at most min_per_split rows
                 table = materialize(joined.withColumn("split", F.when(F.col("__move"), target).otherwise(F.col("split"))).select(*table.columns))
     return table

@@ -480,8 +480,10 @@ def _rebalance_sql() -> str:
     n = 0
     for target, other in (("val", "test"), ("test", "val")):
         for k in BINARY:
+            want, start = f"(SELECT greatest(0, {cfg.min_per_split[target]} - coalesce(sum({k}_bin), 0)) FROM t{n} WHERE split = '{target}')", n
             for donor in ("train", other):
-                want = f"(SELECT greatest(0, {cfg.min_per_split[target]} - coalesce(sum({k}_bin), 0)) FROM t{n} WHERE split = '{target}')"
+                if n > start:
+                    want = f"(SELECT {want} - count(*) FROM m{start})"
                 ctes.append(f"m{n} AS MATERIALIZED (SELECT user_id FROM t{n} WHERE split = '{donor}' AND {k}_bin > 0 ORDER BY md5(concat('{SEED}|', user_id)), user_id LIMIT {want})")
                 ctes.append(f"t{n + 1} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN user_id IN (SELECT user_id FROM m{n}) THEN '{target}' ELSE split END AS split) FROM t{n})")
                 n += 1

@@ -63,8 +63,12 @@ def unique_columns(df: DataFrame) -> DataFrame:
     return named.select(*[F.col(f"c{i}").alias(df.columns[i]) for i in keep])
 
 
-def read_sources(spark: SparkSession, patterns: list[str], schema: T.StructType | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """Reviews (files review-*) and metadata (files meta-*) of the patterns, files united by column name; metadata may be missing."""
+def read_sources(spark: SparkSession, patterns: list[str], schema: T.StructType | None = None, optional: tuple[str, ...] = ("region",)) -> tuple[DataFrame, DataFrame | None]:
+    """Reviews (files review-*) and metadata (files meta-*) of the patterns, files united by column name; metadata may be missing.
+
+    optional: columns of the schema that are dropped if no review has a value, so
+    that later steps know that the files lack them.
+    """
     found = {"review-": [], "meta-": []}
     for pattern in patterns:
         for path in expand(spark, pattern):
@@ -76,6 +80,9 @@ def read_sources(spark: SparkSession, patterns: list[str], schema: T.StructType
         raise FileNotFoundError(f"no review files in {patterns}")
     union = lambda paths, s: _union(_frames(spark, paths, s))
     reviews = union(found["review-"], schema)
+    if schema:
+        lacking = [c for c in optional if c in reviews.columns and reviews.where(F.col(c).isNotNull()).isEmpty()]
+        reviews = reviews.drop(*lacking)
     text = F.col("text")
     trimmed = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
     reviews = reviews.where(text.isNotNull() & (trimmed != "") & (F.lower(trimmed) != "none"))

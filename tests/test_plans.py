@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.functions.schema import REVIEW
-from plumbline.operators import features, modeling, rules, sampling
+from plumbline.operators import features, modeling, rules, sampling, splitting
 from plumbline.plans import catalog, cli, pipelines
 from plumbline.sources import config, io
 from plumbline.streaming import scoring
@@ -56,7 +56,7 @@ def raw(tmp_path, n=400):
 def test_all_stages(spark, tmp_path):
     raw(tmp_path)
     cfg = modeling.Training(trees=3, depth=2, min_rows=1)
-    run = pipelines.Run(spark, pipelines.Paths(str(tmp_path / "out"), [str(tmp_path / "*.jsonl")]), as_of=1_700_000_000, sampler=sampling.Sampler(target=300), training=cfg, n_silver=200)
+    run = pipelines.Run(spark, pipelines.Paths(str(tmp_path / "out"), [str(tmp_path / "*.jsonl")]), as_of=1_700_000_000, sampler=sampling.Sampler(target=300), training=cfg, n_silver=200, split_cfg=splitting.Split(min_per_split={"val": 1, "test": 1}, min_total={}))
     decisions = run.all()
     sampled = run._read("sampled")
     assert sampled.count() == 300 and sampled.where("length(user_id) > 20").count() == 300
