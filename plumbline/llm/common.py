@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.sources.scratch import delete, materialize, new_path, tidy
 
-__all__ = ["WORD", "bucketed", "joined", "let", "materialize", "table", "text_of"]
+__all__ = ["WORD", "bucket_order", "bucketed", "joined", "let", "materialize", "table", "text_of"]
 
 #: A word: any run of characters without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -37,6 +38,18 @@ def joined(spans: Column, kinds: tuple[str, ...]) -> Column:
     return F.array_join(F.transform(ordered, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+@contextmanager
+def bucket_order(spark: SparkSession) -> Iterator[None]:
+    """Plans made inside take buckets of one file each as sorted, as bucketed() writes them."""
+    key = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def bucketed(df: DataFrame, key: str) -> tuple[DataFrame, Callable[[], None]]:
     """df written once to the shared folder, bucketed and sorted by key, so that later joins and groupings by key read it in place.
 

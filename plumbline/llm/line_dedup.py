@@ -19,8 +19,9 @@ Jaccard similarity of 0.8 or more with it. Blank lines always stay.
    since no other line has it. Size and positional filters drop pairs that can't
    reach the threshold, as does a parity bitmap: each word flips one of 64 bits,
    so two lines differ in at least as many words as their bitmaps differ in bits.
-   Pairs of which both classes are settled need no look. Survivors are verified
-   on all words of both lines, which are fetched for survivors only.
+   Pairs whose later class is settled need no look. Survivors are verified on
+   all words of both lines: first each later class with the class whose bitmap is
+   nearest, then all pairs of those that this leaves open.
 
 Words are compared by their hashes: two words of a pair of lines of 50 words
 that collide in 57 bits are met once in about 10^13 pairs.
@@ -39,43 +40,48 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import bucketed, let, materialize, text_of
+from plumbline.llm.common import bucket_order, bucketed, let, materialize, text_of
 
 #: Words at a line's start or end by which dense groups are tried first.
 ENDS = 5
 #: A line that isn't blank.
 ELIGIBLE = r"[^\x20\x09-\x0D]"
 #: The sketch's slots, and how many of them make a page of it.
-SKETCH, PAGE = 1 << 20, 1 << 10
+SKETCH, PAGE = 1 << 19, 1 << 10
 HASH_BITS = 56
 #: A first line's place in the order of lines.
 PLACE = ["none", "doc_id", "text_hash", "line_no"]
 
 
-def _names(line: Column) -> tuple[Column, Column]:
-    """Two independent hashes of a line."""
-    low = F.lower(line)
+def _at() -> Column:
+    """The place of a class's first line, as far as the document goes."""
+    return F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("at")
+
+
+def _names(low: Column) -> tuple[Column, Column]:
+    """Two independent hashes of a lower-case line."""
     return F.xxhash64(low), F.xxhash64(F.lit("second"), low)
 
 
-def _words(line: Column) -> Column:
-    """The hashes of a line's distinct words, in order of appearance."""
-    spaced = reduce(lambda x, c: F.replace(x, F.lit(c), F.lit(" ")), "\t\n\x0b\x0c\r", F.lower(line))
-    return F.array_distinct(F.transform(F.array_remove(F.split(spaced, " "), ""), lambda w: F.xxhash64(w)))
+def _words(low: Column) -> Column:
+    """The hashes of a lower-case line's distinct words, in order of appearance."""
+    spaced = reduce(lambda x, c: F.replace(x, F.lit(c), F.lit(" ")), "\t\x0b\x0c\r", low)
+    return F.array_remove(F.array_distinct(F.transform(F.split(spaced, " "), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     text = text_of(docs)
     # posexplode_outer, since for posexplode Spark would split every text once more, to see that it has lines.
     lines = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.posexplode_outer(F.split(text, "\n")).alias("line_no", "line")).where(F.col("line").rlike(ELIGIBLE))
-    key, second = _names(F.col("line"))
-    return lines.select(key.alias("key"), second.alias("second"), F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "line_no", "line").alias("at"))
+    lines = lines.withColumn("low", F.lower("line"))
+    key, second = _names(F.col("low"))
+    return lines.select(key.alias("key"), second.alias("second"), F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "line_no", "low").alias("at"))
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, callable]:
     """key, PLACE and words of the first line of each class of equal lines: a table bucketed by key, and a function that drops it."""
     firsts = lambda rows, *by: rows.groupBy(*by).agg(F.min("at").alias("first"), (F.min("second") != F.max("second")).alias("clash"))
-    own = lambda c: c.select("key", *[f"first.{x}" for x in PLACE], _words(F.col("first.line")).alias("words"), "clash")
+    own = lambda c: c.select("key", *[f"first.{x}" for x in PLACE], _words(F.col("first.low")).alias("words"), "clash")
     c, drop = bucketed(own(firsts(_lines(docs), "key")), "key")
     clashes = c.where("clash").select("key")
     if clashes.isEmpty():
@@ -118,14 +124,13 @@ def _settled(c: DataFrame) -> DataFrame:
     """key of classes with a similar earlier class that shares their first or last words."""
     head, tail = F.xxhash64(F.lit(0), F.slice("words", 1, ENDS)), F.xxhash64(F.lit(1), F.slice("words", -F.least(F.size("words"), F.lit(ENDS)), ENDS))
     # Which class of a group is tried only steers the work, so the order may be coarse.
-    at = F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("at")
-    rows = c.select("key", at, F.explode(F.array(head, tail)).alias("sig"))
-    lead = rows.groupBy("sig").agg(F.min(F.struct("at", "key")).alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return verified(rows.join(lead, "sig").where("key <> lead.key").select(F.col("key").alias("k1"), F.col("lead.key").alias("k2")).distinct(), c)
+    rows = c.select("key", _at(), F.explode(F.array(head, tail)).alias("sig"))
+    lead = rows.groupBy("sig").agg(F.min_by("key", "at").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return verified(rows.join(lead, "sig").where("key <> lead").select(F.col("key").alias("k1"), F.col("lead").alias("k2")).distinct(), c)
 
 
 def prefixes(c: DataFrame, sketch: bytes) -> DataFrame:
-    """token, key, x (size, the token's place by rarity, settled) and parity, for the prefix of each class."""
+    """token, key, at (order by document), x (size, the token's place by rarity, settled) and parity, for the prefix of each class."""
     levels = F.lit(sketch)
     level = lambda h: (F.ascii(F.substring(levels, h.bitwiseAND(F.lit(SKETCH - 1)).cast("int") + 1, 1).cast("string")) - 32).cast("long")
     code = lambda h: F.call_function("shiftleft", level(h), F.lit(HASH_BITS)).bitwiseOR(F.call_function("shiftrightunsigned", h, F.lit(64 - HASH_BITS)))
@@ -133,25 +138,41 @@ def prefixes(c: DataFrame, sketch: bytes) -> DataFrame:
     # A similar line shares at least ceil(0.8 n) words, so one of the first n - ceil(0.8 n) + 1.
     n = F.size("words")
     head = F.slice(F.sort_array(F.transform("words", code)), 1, n - F.ceil(4 * n / 5).cast("int") + 1)
-    bags = c.select("key", "settled", n.alias("n"), F.aggregate("words", F.lit(0).cast("long"), flip).alias("parity"), head.alias("head"))
-    # Outer, as in _lines: else heads are made twice.
-    rows = bags.select("key", "settled", "n", "parity", F.posexplode_outer("head").alias("pos", "token")).where(F.shiftright("token", HASH_BITS) > 0)
+    # Written before it is joined, so that the sketch is part of one small plan only.
+    bags = materialize(c.select("key", _at(), "settled", n.alias("n"), F.aggregate("words", F.lit(0).cast("long"), flip).alias("parity"), head.alias("head")))
+    rows = bags.select("key", "at", "settled", "n", "parity", F.posexplode("head").alias("pos", "token")).where(F.shiftright("token", HASH_BITS) > 0)
     packed = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.shiftleft(F.col("pos").cast("long"), 1)).bitwiseOR(F.col("settled").cast("long"))
-    return rows.select("token", "key", "parity", packed.alias("x"))
+    return rows.select("token", "key", "at", "parity", packed.alias("x"))
 
 
 def _joined(rows: DataFrame) -> DataFrame:
-    """k1 < k2: pairs of classes that pass the prefix, size, positional and parity filters."""
+    """later, earlier, tie and far: pairs of classes that pass the prefix, size, positional and parity filters.
+
+    Both classes of a tie are of one document id, so either may be the later
+    one. far: the bits in which their bitmaps differ.
+    """
     a, b = rows.alias("a"), rows.alias("b")
     n = {s: F.shiftrightunsigned(f"{s}.x", 32) for s in "ab"}
     rest = {s: n[s] - F.shiftright(f"{s}.x", 1).bitwiseAND(F.lit((1 << 31) - 1).cast("long")) for s in "ab"}
-    # The later of two settled lines goes already.
-    open_ = F.col("a.x").bitwiseAND(F.col("b.x")).bitwiseAND(F.lit(1).cast("long")) == 0
+    settled = {s: F.col(f"{s}.x").bitwiseAND(F.lit(1).cast("long")) == 1 for s in "ab"}
     sized = 5 * F.least(n["a"], n["b"]) >= 4 * F.greatest(n["a"], n["b"])
     # At the first word they share, both lines must have as many words left as the overlap needs.
-    near = (9 * F.least(rest["a"], rest["b"]) >= 4 * (n["a"] + n["b"])) & (9 * F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity"))) <= n["a"] + n["b"])
-    pairs = a.hint("merge").join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.key") < F.col("b.key")) & sized & near & open_)
-    return pairs.select(F.col("a.key").alias("k1"), F.col("b.key").alias("k2")).distinct()
+    far = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity")))
+    near = (9 * F.least(rest["a"], rest["b"]) >= 4 * (n["a"] + n["b"])) & (9 * far <= n["a"] + n["b"])
+    # a is the later one; of a tie, each pair is met once.
+    open_ = (F.col("a.at") > F.col("b.at")) & ~settled["a"] | (F.col("a.at") == F.col("b.at")) & (F.col("a.key") > F.col("b.key")) & ~(settled["a"] & settled["b"])
+    pairs = a.hint("merge").join(b, (F.col("a.token") == F.col("b.token")) & sized & near & open_)
+    return pairs.select(F.col("a.key").alias("later"), F.col("b.key").alias("earlier"), (F.col("a.at") == F.col("b.at")).alias("tie"), far.alias("far")).distinct()
+
+
+def _found(pairs: DataFrame, c: DataFrame) -> DataFrame:
+    """key of the later classes of the similar ones of _joined's pairs."""
+    pairs = materialize(pairs)
+    nearest = pairs.groupBy("later").agg(F.min_by("earlier", "far").alias("k2"))
+    first = materialize(verified(nearest.select(F.col("later").alias("k1"), "k2"), c))
+    # A tie stays, since its other class may be the later one.
+    left = pairs.join(first, pairs["later"] == first["key"], "left").where("key IS NULL OR tie")
+    return first.union(verified(left.select(F.col("later").alias("k1"), F.col("earlier").alias("k2")), c))
 
 
 def kept_lines(docs: DataFrame) -> DataFrame:
@@ -162,30 +183,32 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     """
     c, drop = classes(docs)
     try:
-        settled = materialize(_settled(c)).withColumn("settled", F.lit(True))
-        marked = c.join(settled, "key", "left").withColumn("settled", F.coalesce("settled", F.lit(False)))
-        found = materialize(verified(_joined(prefixes(marked, rarity(c))), c))
-        stay = c.select("key", "doc_id", "text_hash", "line_no").join(settled, "key", "left_anti").join(found, "key", "left_anti")
-        return materialize(stay.groupBy("doc_id", "text_hash").agg(F.collect_list("line_no").alias("kept")))
+        with bucket_order(docs.sparkSession):
+            settled = materialize(_settled(c))
+            # Keys of settled are distinct, so what a task holds of them stays small, and c with its words needs no sort.
+            marks = settled.withColumn("settled", F.lit(True)).hint("shuffle_hash")
+            marked = c.join(marks, "key", "left").withColumn("settled", F.coalesce("settled", F.lit(False)))
+            found = materialize(_found(_joined(prefixes(marked, rarity(c))), c))
+            stay = c.select("key", "doc_id", "text_hash", "line_no").join(settled.union(found), "key", "left_anti")
+            return materialize(stay.groupBy("doc_id", "text_hash").agg(F.collect_list("line_no").alias("kept")))
     finally:
         drop()
 
 
 def _with_removed(docs: DataFrame, columns: list[Column]) -> DataFrame:
-    """columns, __lines and __removed (numbers of the lines that go)."""
+    """columns, __n_lines and __removed (numbers of the lines that go)."""
     text = text_of(docs)
-    left = docs.select(*columns, text.alias("__text"), docs["doc_id"].alias("__id"), F.xxhash64(text).alias("__hash"))
+    number = lambda lines: F.struct(F.size(lines).alias("n"), F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(ELIGIBLE), i)), lambda i: i.isNotNull()).alias("some"))
+    left = docs.select(*columns, docs["doc_id"].alias("__id"), F.xxhash64(text).alias("__hash"), let(F.split(text, "\n"), number).alias("__lines"))
     k = kept_lines(docs).select(F.col("doc_id").alias("__kid"), F.col("text_hash").alias("__khash"), F.col("kept").alias("__kept"))
     both = left.join(k, F.col("__id").eqNullSafe(F.col("__kid")) & (F.col("__hash") == F.col("__khash")), "left")
-    both = both.select("*", F.split("__text", "\n").alias("__lines"))
-    some = F.filter(F.transform("__lines", lambda x, i: F.when(x.rlike(ELIGIBLE), i)), lambda i: i.isNotNull())
-    return both.withColumn("__removed", F.array_except(some, F.coalesce("__kept", F.array().cast("array<int>"))))
+    return both.select("*", F.col("__lines.n").alias("__n_lines"), F.array_except("__lines.some", F.coalesce("__kept", F.array().cast("array<int>"))).alias("__removed"))
 
 
 def decisions(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines and removed (array of line numbers from 0), one row a document."""
     df = _with_removed(docs, [docs["doc_id"].alias("__doc")])
-    return df.select(F.col("__doc").alias("doc_id"), F.size("__lines").cast("long").alias("n_lines"), F.col("__removed").alias("removed"))
+    return df.select(F.col("__doc").alias("doc_id"), F.col("__n_lines").cast("long").alias("n_lines"), F.col("__removed").alias("removed"))
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
@@ -193,8 +216,9 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     df = _with_removed(docs, [F.struct(*[docs[c] for c in docs.columns]).alias("__row")])
     # Lines tagged with their numbers are all different, so the difference of two arrays is linear and keeps every other line.
     tag = lambda x, i: F.concat(i.cast("string"), F.lit(":"), x)
-    left = F.array_except(F.transform("__lines", tag), F.transform("__removed", lambda i: tag(F.get("__lines", i), i)))
-    text = F.when(F.size("__removed") == 0, F.col("__row.text")).otherwise(F.array_join(F.transform(left, lambda x: F.substr(x, F.instr(x, ":") + 1)), "\n"))
+    left = lambda lines: F.array_except(F.transform(lines, tag), F.transform("__removed", lambda i: tag(F.get(lines, i), i)))
+    cut = F.array_join(F.transform(let(F.split("__row.text", "\n"), left), lambda x: F.substr(x, F.instr(x, ":") + 1)), "\n")
+    text = F.when(F.size("__removed") == 0, F.col("__row.text")).otherwise(cut)
     return df.select(*[text.alias(c) if c == "text" else F.col(f"__row.`{c}`").alias(c) for c in docs.columns])
 
 
@@ -207,3 +231,28 @@ def op10(docs: DataFrame) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with later matches of lines removed from their texts."""
     return deduplicate(docs)
+
+
+ORACLE = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS x, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line_no FROM documents
+), e AS (
+  SELECT row_number() OVER (ORDER BY doc_id, line_no) AS k, doc_id, line_no, list_distinct(regexp_extract_all(lower(x), '[^\x20\x09-\x0D]+')) AS w FROM l WHERE regexp_matches(x, '[^\x20\x09-\x0D]')
+), t AS (
+  SELECT k, len(w) AS n, unnest(w) AS u FROM e
+), f AS (
+  SELECT u, count(*) AS c FROM t GROUP BY u
+), r AS (
+  SELECT k, n, u, row_number() OVER (PARTITION BY k ORDER BY c, u) AS p FROM t JOIN f USING (u)
+), x AS (
+  SELECT k, n, u FROM r WHERE p <= n - (4 * n + 4) // 5 + 1
+), c AS (
+  SELECT DISTINCT a.k AS k, b.k AS j FROM x a JOIN x b USING (u) WHERE b.k < a.k AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+), g AS (
+  SELECT DISTINCT c.k FROM c JOIN e a ON a.k = c.k JOIN e b ON b.k = c.j WHERE 9 * len(list_intersect(a.w, b.w)) >= 4 * (len(a.w) + len(b.w))
+), d AS (
+  SELECT doc_id, count(*) AS n, string_agg(CAST(line_no AS VARCHAR), ',' ORDER BY line_no) AS s FROM e JOIN g USING (k) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(string_split(coalesce(text, ''), chr(10))) AS BIGINT) AS n_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, coalesce(s, '') AS removed_lines
+FROM documents LEFT JOIN d USING (doc_id)
+"""

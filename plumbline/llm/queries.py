@@ -23,4 +23,5 @@ ORACLES = {
     "op5_decontamination": decontamination.ORACLE,
     "op7_mixing": mixing.ORACLE,
     "op8_quality_rules": quality_rules.ORACLE,
+    "op10_line_dedup": line_dedup.ORACLE,
 }

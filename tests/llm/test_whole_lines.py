@@ -49,6 +49,6 @@ def test_lines_whose_names_clash(spark, monkeypatch):
     from pyspark.sql import functions as F
 
     real = line_dedup._names
-    monkeypatch.setattr(line_dedup, "_names", lambda line: (F.length(line).cast("long"), real(line)[1]))
+    monkeypatch.setattr(line_dedup, "_names", lambda low: (F.length(low).cast("long"), real(low)[1]))
     docs = [(1, "one two three\nsix two three\nlonger line than these"), (2, "six two three\none two three\nten two three"), (3, "longer line than these\nTEN two three")]
     assert check(spark, docs) == {1: [0, 1], 2: [0, 1]}
