@@ -130,7 +130,7 @@ def _settled(c: DataFrame) -> DataFrame:
 
 
 def prefixes(c: DataFrame, sketch: bytes) -> DataFrame:
-    """token, key, at (order by document), x (size, the token's place by rarity, settled) and parity, for the prefix of each class."""
+    """token, prev (the token before it, or 0), key, at (order by document), x (size, the token's place by rarity, settled) and parity, for the prefix of each class."""
     levels = F.lit(sketch)
     level = lambda h: (F.ascii(F.substring(levels, h.bitwiseAND(F.lit(SKETCH - 1)).cast("int") + 1, 1).cast("string")) - 32).cast("long")
     code = lambda h: F.call_function("shiftleft", level(h), F.lit(HASH_BITS)).bitwiseOR(F.call_function("shiftrightunsigned", h, F.lit(64 - HASH_BITS)))
@@ -140,9 +140,10 @@ def prefixes(c: DataFrame, sketch: bytes) -> DataFrame:
     head = F.slice(F.sort_array(F.transform("words", code)), 1, n - F.ceil(4 * n / 5).cast("int") + 1)
     # Written before it is joined, so that the sketch is part of one small plan only.
     bags = materialize(c.select("key", _at(), "settled", n.alias("n"), F.aggregate("words", F.lit(0).cast("long"), flip).alias("parity"), head.alias("head")))
-    rows = bags.select("key", "at", "settled", "n", "parity", F.posexplode("head").alias("pos", "token")).where(F.shiftright("token", HASH_BITS) > 0)
+    rows = bags.select("key", "at", "settled", "n", "parity", "head", F.posexplode("head").alias("pos", "token")).where(F.shiftright("token", HASH_BITS) > 0)
     packed = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.shiftleft(F.col("pos").cast("long"), 1)).bitwiseOR(F.col("settled").cast("long"))
-    return rows.select("token", "key", "at", "parity", packed.alias("x"))
+    prev = F.coalesce(F.get("head", F.col("pos") - 1), F.lit(0).cast("long"))
+    return rows.select("token", prev.alias("prev"), "key", "at", "parity", packed.alias("x"))
 
 
 def _joined(rows: DataFrame) -> DataFrame:
@@ -161,7 +162,9 @@ def _joined(rows: DataFrame) -> DataFrame:
     near = (9 * F.least(rest["a"], rest["b"]) >= 4 * (n["a"] + n["b"])) & (9 * far <= n["a"] + n["b"])
     # a is the later one; of a tie, each pair is met once.
     open_ = (F.col("a.at") > F.col("b.at")) & ~settled["a"] | (F.col("a.at") == F.col("b.at")) & (F.col("a.key") > F.col("b.key")) & ~(settled["a"] & settled["b"])
-    pairs = a.hint("merge").join(b, (F.col("a.token") == F.col("b.token")) & sized & near & open_)
+    # Where the tokens before are shared too, the pair is met there, and passes the filters there if it does here.
+    fresh = (F.col("a.prev") != F.col("b.prev")) | (F.col("a.prev") == 0)
+    pairs = a.hint("merge").join(b, (F.col("a.token") == F.col("b.token")) & fresh & sized & near & open_)
     return pairs.select(F.col("a.key").alias("later"), F.col("b.key").alias("earlier"), (F.col("a.at") == F.col("b.at")).alias("tie"), far.alias("far")).distinct()
 
 
