@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from plumbline.sources.scratch import delete, materialize, new_path, tidy
 
-__all__ = ["WORD", "bucket_order", "bucketed", "joined", "let", "materialize", "table", "text_of"]
+__all__ = ["WORD", "bucket_order", "bucketed", "join_back", "joined", "let", "materialize", "table", "text_of"]
 
 #: A word: any run of characters without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -67,3 +67,29 @@ def bucketed(df: DataFrame, key: str) -> tuple[DataFrame, Callable[[], None]]:
         delete(spark, path)
 
     return spark.table(name), drop
+
+
+#: A key that holds more than one row in so many is joined on its own; there can be no more such keys than this.
+HOT_SHARE = 2048
+
+
+def join_back(rows: DataFrame, groups: DataFrame, keys: list[str], weight: str) -> DataFrame:
+    """rows left-joined with groups on keys (nulls equal), without the column weight: how many of the rows each group stands for.
+
+    The groups of more than one row in HOT_SHARE, at most HOT_SHARE of them, are
+    sent to every task; no task gets all rows of such a key. The others are
+    joined by a shuffle, in which no key has more than that share.
+    """
+    stored = materialize(groups)
+    total = stored.agg(F.sum(weight)).first()[0] or 0
+    at = [f"__key{i}" for i in range(len(keys))]
+    renamed = stored.select(*[F.col(k).alias(a) for k, a in zip(keys, at, strict=True)], *[c for c in stored.columns if c not in keys])
+    made = [c for c in stored.columns if c not in keys and c != weight]
+    hot = renamed.where(F.col(weight) * HOT_SHARE > F.lit(total).cast("long")).drop(weight)
+    rest = renamed.where(F.col(weight) * HOT_SHARE <= F.lit(total).cast("long")).drop(weight)
+    on = lambda g: [rows[k].eqNullSafe(g[a]) for k, a in zip(keys, at, strict=True)]
+    marked = rows.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), on(hot), "left").drop(*at)  # HOT_SHARE rows at most
+    done = marked.where("__hot").drop("__hot")
+    others = marked.where("__hot IS NULL").drop("__hot", *made)
+    on = [F.col(k).eqNullSafe(F.col(a)) for k, a in zip(keys, at, strict=True)]
+    return done.unionByName(others.join(rest, on, "left").drop(*at))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plumbline.llm import decontamination, licenses, line_dedup, mixing, pii, quality_model, quality_rules, secrets, simhash, toxicity
+from plumbline.llm import decontamination, filter_audit, licenses, line_dedup, mixing, pii, quality_model, quality_rules, secrets, simhash, toxicity
 from plumbline.llm.common import table
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_quality_rules": lambda s, d: quality_rules.op8(table(s, d, "documents")),
     "op9_simhash": lambda s, d: simhash.op9(table(s, d, "documents")),
     "op10_line_dedup": lambda s, d: line_dedup.op10(table(s, d, "documents")),
+    "op11_filter_audit": lambda s, d: filter_audit.op11(table(s, d, "documents"), table(s, d, "labels")),
 }
 
 ORACLES = {
@@ -24,4 +25,5 @@ ORACLES = {
     "op7_mixing": mixing.ORACLE,
     "op8_quality_rules": quality_rules.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
+    "op11_filter_audit": filter_audit.ORACLE,
 }
