@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plumbline.llm import decontamination, filter_audit, licenses, line_dedup, mixing, pii, quality_model, quality_rules, secrets, simhash, toxicity, vector_codes
+from plumbline.llm import decontamination, filter_audit, html_text, licenses, line_dedup, mixing, pii, quality_model, quality_rules, secrets, simhash, toxicity, vector_codes
 from plumbline.llm.common import table
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_simhash": lambda s, d: simhash.op9(table(s, d, "documents")),
     "op10_line_dedup": lambda s, d: line_dedup.op10(table(s, d, "documents")),
     "op11_filter_audit": lambda s, d: filter_audit.op11(table(s, d, "documents"), table(s, d, "labels")),
+    "op12_html_text": lambda s, d: html_text.op12(table(s, d, "pages")),
     "op13_vector_codes": lambda s, d: vector_codes.op13(table(s, d, "embeddings")),
 }
 
