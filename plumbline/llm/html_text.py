@@ -204,7 +204,7 @@ class Page:
             self._text(tail)
 
 
-# --- wrappers: items are [key, kids, repeated, optional, counts]; a group's key is "(" and its kids' keys ----------
+# --- wrappers: items are [key, kids, repeated, optional, counts]; a group's key is that of its kids in brackets ----
 
 
 def fold(items: list) -> list:
@@ -227,7 +227,7 @@ def fold(items: list) -> list:
                 first[0][2] = True
                 out += first
             else:
-                out.append(["(" + " ".join(keys), first, True, False, None])
+                out.append(["(" + " ".join(keys) + ")", first, True, False, None])
             i = j
         items = out
     return items
@@ -371,11 +371,11 @@ def decide(items: list) -> list:
     def weight(x: list) -> int:
         return (x[4][1] if id(x) in few_links else 0) + sum(map(weight, x[1]))
 
-    # Down from the whole page to the smallest part with four fifths of what is neither template nor links.
+    # Down from the whole page to the smallest part of several blocks with four fifths of what is neither template nor links.
     part = ["", items, False, False, None]
     while part[1]:
         best = max(part[1], key=weight)
-        if 5 * weight(best) < 4 * weight(part) or not weight(best):
+        if 5 * weight(best) < 4 * weight(part) or not weight(best) or not any(x[1] for x in best[1]):
             break
         part = best
     chosen: set[int] = set()
