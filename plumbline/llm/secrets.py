@@ -113,6 +113,16 @@ def _normal(z: Column) -> Column:
     return 1 / (1 + F.exp(-1.5976 * z - 0.07056 * z * z * z))
 
 
+def _squares(values: Column) -> Column:
+    """The sum of the squared counts of the distinct values: in sorted order, the k-th of a run of equal ones adds 2 k - 1."""
+    def step(a: Column, x: Column) -> Column:
+        run = F.when(a["last"] == x, a["run"] + 1).otherwise(F.lit(1.0))
+        return F.struct(x.alias("last"), run.alias("run"), (a["total"] + 2 * run - 1).alias("total"))
+
+    start = F.struct(F.lit(-1.0).alias("last"), F.lit(0.0).alias("run"), F.lit(0.0).alias("total"))
+    return F.aggregate(F.array_sort(values), start, step, lambda a: a["total"])
+
+
 def _battery(value: Column) -> Column:
     """encoding, n, z_text (chi-squared and letter-digit changes against ordinary text), z_runs, z_serial of one candidate."""
     which = reduce(lambda rest, i: F.when(value.rlike(ENCODINGS[i][1]), F.lit(i)).otherwise(rest), reversed(range(len(ENCODINGS))), F.lit(len(ENCODINGS) - 1))
@@ -126,8 +136,7 @@ def _battery(value: Column) -> Column:
 
         def of(v: Column) -> Column:
             n, k = F.size(v).cast("double"), F.length(pick(i, 2)).cast("double")
-            counts = F.transform(F.sequence(F.lit(0), F.length(pick(i, 2)) - 1), lambda s: F.size(F.filter(v, lambda x: x == s)).cast("double"))
-            squares = F.aggregate(counts, F.lit(0.0), lambda a, c: a + c * c)
+            squares = _squares(F.filter(v, lambda x: x >= 0))
             chi = squares * k / n - n
             excess = k * pick(i, 3) - 1
             z_text = (chi - (k - 1) - n * excess) / F.sqrt(2 * (k - 1) + 4 * n * excess)
@@ -141,7 +150,7 @@ def _battery(value: Column) -> Column:
             low = n - high
             runs = 1 + F.size(F.filter(F.sequence(F.lit(1), F.greatest(F.size(v) - 1, F.lit(1))), lambda j: (F.get(v, j) >= k / 2) != (F.get(v, j - 1) >= k / 2)))
             mean = 2 * high * low / n + 1
-            var = 2 * high * low * (2 * high * low - n) / (n * n * (n - 1))
+            var = 2 * high * low * (2 * high * low - n) / (n * n * F.greatest(n - 1, F.lit(1.0)))  # 0 for a single symbol
             z_runs = F.when(var > 0, (runs - mean) / F.sqrt(F.greatest(var, F.lit(1e-9)))).otherwise(99.0)
             avg = F.aggregate(v, F.lit(0.0), lambda a, x: a + x) / n
 
