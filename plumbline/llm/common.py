@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from plumbline.sources.scratch import delete, materialize, new_path, tidy
 
-__all__ = ["WORD", "bucket_order", "bucketed", "join_back", "joined", "let", "materialize", "table", "text_of"]
+__all__ = ["WORD", "bucket_order", "bucketed", "join_back", "joined", "let", "materialize", "quoted", "table", "text_of"]
 
 #: A word: any run of characters without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -21,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(column: str) -> str:
+    """A column's name as it is written in expressions, whatever is in it."""
+    return "`" + column.replace("`", "``") + "`"
+
+
 def let(value: Column, body) -> Column:
     """body(value), with value evaluated once a row even if body uses it inside lambdas."""
     return F.transform(F.array(value), body)[0]

@@ -32,8 +32,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from plumbline.llm.common import materialize
+from plumbline.llm.common import materialize, quoted
 
 WINDOW = 10
 BLOCK_BYTES = 2 << 20
@@ -51,14 +52,17 @@ def words_of(text: str | None) -> list[bytes]:
 class TestSuffixes:
     """The items' words as numbers, and their distinct windows."""
 
-    def __init__(self, items: list[tuple[str | None, str]], window: int = WINDOW):
+    def __init__(self, items: list[tuple], window: int = WINDOW):
         self.number: dict[bytes, int] = {}
         places: dict[tuple[int, ...], list[tuple[int, int]]] = {}
         self.ids: list[str | None] = []
-        for item_id, text in items:
+        #: Words of an item before the piece of it that is here.
+        self.firsts: list[int] = []
+        for item_id, text, *first in items:
             nums = [self.number.setdefault(w, len(self.number) + 1) for w in words_of(text)]
             k = len(self.ids)
             self.ids.append(item_id)
+            self.firsts.append(first[0] if first else 0)
             for at in range(max(1, len(nums) - window + 1) if nums else 0):
                 places.setdefault(tuple(nums[at : at + window]), []).append((k, at))
         self.window = window
@@ -146,7 +150,7 @@ class TestSuffixes:
         items = sorted({self.ids[k] for w in np.unique(which).tolist() for k, _ in self.places[w]}, key=lambda x: (x is None, x))
         longest: dict[tuple[int, int], list[int]] = {}  # by item and diagonal: the open match
         found: list[dict] = []
-        close = lambda k, x: found.append({"item_id": self.ids[k], "item_start": x[2], "doc_start": x[0], "n_words": x[1] - x[0]})
+        close = lambda k, x: found.append({"item_id": self.ids[k], "item_start": x[2] + self.firsts[k], "doc_start": x[0], "n_words": x[1] - x[0]})
         for w, p in zip(which.tolist(), place.tolist(), strict=True):
             for k, at in self.places[w]:
                 x = longest.get((k, p - at))
@@ -162,17 +166,36 @@ class TestSuffixes:
         return [tuple(x) for x in spans], items, found
 
 
-def item_blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[list[tuple[str | None, str]]]:
-    """(item_id, text) in blocks of at most `most` bytes (or one item); streamed, so the driver holds one block at a time."""
+def pieces(text: str, most: int, window: int) -> Iterator[tuple[str, int]]:
+    """A long text in parts of about `most` bytes, and the number of words before each; parts overlap by window - 1 words, so each window is whole in one."""
+    words, start = words_of(text), 0
+    while start == 0 or start + window <= len(words):
+        end, held = start, 0
+        while end < len(words) and (held < most or end - start < window):
+            held += len(words[end]) + 1
+            end += 1
+        yield b" ".join(words[start:end]).decode("utf-8", "surrogatepass"), start
+        if end >= len(words):
+            return
+        start = end - (window - 1)
+
+
+def item_blocks(benchmark: DataFrame, most: int = BLOCK_BYTES, window: int = WINDOW) -> Iterator[list[tuple]]:
+    """(item_id, text, words before) in blocks of at most about `most` bytes; streamed, so the driver holds one block and one item at a time.
+
+    A longer item is cut into pieces; a verbatim match across the seam of two is given as two.
+    """
     block, held = [], 0
     rows = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").cast("string").alias("t")).where("t IS NOT NULL")
     for row in rows.toLocalIterator():
-        n = len(row.t.encode("utf-8", "surrogatepass"))
-        if block and held + n > most:
-            yield block
-            block, held = [], 0
-        block.append((row.i, row.t))
-        held += n
+        whole = len(row.t.encode("utf-8", "surrogatepass"))
+        for text, first in pieces(row.t, most, window) if whole > most else [(row.t, 0)]:
+            n = len(text.encode("utf-8", "surrogatepass"))
+            if block and held + n > most:
+                yield block
+                block, held = [], 0
+            block.append((row.i, text, first))
+            held += n
     if block:
         yield block
 
@@ -195,11 +218,26 @@ def _finder(suffixes):
     return find
 
 
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])))
+def _merged(spans: pd.Series) -> pd.Series:
+    """Each row's spans in order, those that meet as one; linear but for the sort."""
+    out = []
+    for row in spans:
+        merged: list[dict] = []
+        for a, b in sorted((x["start"], x["end"]) for x in row):
+            if merged and a <= merged[-1]["end"]:
+                merged[-1]["end"] = max(merged[-1]["end"], b)
+            else:
+                merged.append({"start": a, "end": b})
+        out.append(merged)
+    return pd.Series(out, dtype=object)
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, column: str = "text", name: str = "hit") -> DataFrame:
     """docs with a struct column: n_words, spans (merged hit words), items and matches (the longest verbatim ones)."""
     share = docs.sparkSession.sparkContext.broadcast
     text = F.coalesce(F.col(column).cast("string"), F.lit(""))
-    blocks = item_blocks(benchmark)
+    blocks = item_blocks(benchmark, window=window)
     first, second = next(blocks, None), next(blocks, None)
     if first and not second:
         return docs.withColumn(name, _finder(share(TestSuffixes(first, window)))(text))
@@ -217,15 +255,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, column: st
         shared.destroy()
     every = reduce(DataFrame.unionByName, passes)
     gathered = every.groupBy("__place").agg(*[F.flatten(F.collect_list(c)).alias(f"__{c}") for c in ("spans", "items", "matches")])
-    # A text's spans of several blocks, merged; an item is whole within one block, equal ids may be in several.
-    spans = F.aggregate(
-        F.array_sort("__spans"),
-        F.array().cast("array<struct<start:long,end:long>>"),
-        lambda acc, x: F.when(
-            (F.size(acc) > 0) & (x["start"] <= F.element_at(acc, -1)["end"]),
-            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], x["end"]).alias("end")))),
-        ).otherwise(F.concat(acc, F.array(x))),
-    )
+    # A text's spans of several blocks, merged; equal ids may be in several.
+    spans = _merged("__spans")
     none = lambda c, kind: F.coalesce(F.col(c), F.array().cast(kind))
     gathered = gathered.select("__place", spans.alias("__spans"), F.array_sort(F.array_distinct("__items")).alias("__items"), "__matches")
     both = base.join(gathered, "__place", "left")
@@ -235,7 +266,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, column: st
         none("__items", "array<string>").alias("items"),
         none("__matches", "array<struct<item_id:string,item_start:long,doc_start:long,n_words:long>>").alias("matches"),
     )
-    return both.select(*docs.columns, hit.alias(name))
+    return both.select(*map(quoted, docs.columns), hit.alias(name))
 
 
 def op5(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -249,7 +280,7 @@ def op5(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of any benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    held = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__row"))
+    held = docs.select(F.struct(*[docs[quoted(c)] for c in docs.columns]).alias("__row"))
     return scan(held.withColumn("__text", F.col("__row.text")), benchmark, column="__text").where(F.size("hit.spans") == 0).select("__row.*")
 
 

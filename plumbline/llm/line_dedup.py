@@ -40,7 +40,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import bucket_order, bucketed, let, materialize, text_of
+from plumbline.llm.common import bucket_order, bucketed, let, materialize, quoted, text_of
 
 #: Words at a line's start or end by which dense groups are tried first.
 ENDS = 5
@@ -216,13 +216,13 @@ def decisions(docs: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """docs with the removed lines cut out of text."""
-    df = _with_removed(docs, [F.struct(*[docs[c] for c in docs.columns]).alias("__row")])
+    df = _with_removed(docs, [F.struct(*[docs[quoted(c)] for c in docs.columns]).alias("__row")])
     # Lines tagged with their numbers are all different, so the difference of two arrays is linear and keeps every other line.
     tag = lambda x, i: F.concat(i.cast("string"), F.lit(":"), x)
     left = lambda lines: F.array_except(F.transform(lines, tag), F.transform("__removed", lambda i: tag(F.get(lines, i), i)))
     cut = F.array_join(F.transform(let(F.split("__row.text", "\n"), left), lambda x: F.substr(x, F.instr(x, ":") + 1)), "\n")
     text = F.when(F.size("__removed") == 0, F.col("__row.text")).otherwise(cut)
-    return df.select(*[text.alias(c) if c == "text" else F.col(f"__row.`{c}`").alias(c) for c in docs.columns])
+    return df.select(*[text.alias(c) if c == "text" else F.col(f"__row.{quoted(c)}").alias(c) for c in docs.columns])
 
 
 def op10(docs: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import WORD, let, text_of
+from plumbline.llm.common import WORD, let, quoted, text_of
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_letters")
 
@@ -133,7 +133,7 @@ def op8(docs: DataFrame) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the newest policy keeps, with their own columns."""
     held = docs.withColumn("__text", text_of(docs))
-    judged = ledger(held.select(F.struct(*[docs[c] for c in docs.columns]).alias("__row"), F.col("__text").alias("text")), ("__row",))
+    judged = ledger(held.select(F.struct(*[docs[quoted(c)] for c in docs.columns]).alias("__row"), F.col("__text").alias("text")), ("__row",))
     return apply_policy(judged).where("kept").select("__row.*")
 
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import materialize
+from plumbline.llm.common import materialize, quoted
 
 WIDTH = 3
 RADIUS = 3
@@ -155,4 +155,4 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = tagged.join(best.where("NOT __again"), same, "left_semi")
     if not best.where("__again").isEmpty():  # rows repeated with their ids; only those are compared whole
         kept = kept.union(tagged.join(best.where("__again"), same, "left_semi").dropDuplicates(["__id", "__h"]))
-    return kept.select(*docs.columns)
+    return kept.select(*map(quoted, docs.columns))
