@@ -27,17 +27,17 @@ def pic_count(df: DataFrame) -> Column:
 
 
 def reply(df: DataFrame) -> tuple[Column, Column]:
-    """Length and epoch seconds of the owner's reply, a struct, a JSON string or plain text."""
+    """Length and epoch seconds of the owner's reply, a struct, a JSON string or plain text; a time that is no long is null."""
     if "resp" not in df.columns:
         return F.lit(0).cast("long"), F.lit(None).cast("long")
     c = F.col("resp")
     if isinstance(df.schema["resp"].dataType, T.StructType):
-        return F.coalesce(F.length(c["text"].cast("string")), F.lit(0)).cast("long"), c["time"].cast("long")
+        return F.coalesce(F.length(c["text"].cast("string")), F.lit(0)).cast("long"), c["time"].try_cast("long")
     s = F.trim(c.cast("string"))
     parsed = F.from_json(s, RESP_JSON)
     is_json = s.startswith("{") & F.try_parse_json(s).isNotNull()
     length = F.when(is_json, F.coalesce(F.length(parsed["text"]), F.lit(0))).otherwise(F.coalesce(F.length(s), F.lit(0)))
-    return length.cast("long"), F.when(is_json, parsed["time"]).cast("long")
+    return length.cast("long"), F.when(is_json, parsed["time"]).try_cast("long")
 
 
 def epoch_seconds(t: Column, unit: str = "auto") -> Column:

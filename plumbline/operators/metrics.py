@@ -95,7 +95,7 @@ def best_f1(df: DataFrame) -> DataFrame:
     n = c.count()
     scores = c
     if n > MOST_CANDIDATES:
-        chosen = {n - 1 - int(round(k * (n - 1) / (MOST_CANDIDATES - 1))) for k in range(MOST_CANDIDATES)}
+        chosen = {n - 1 - k * (n - 1) // (MOST_CANDIDATES - 1) for k in range(MOST_CANDIDATES)}  # places from the lowest score, rounded down
         scores = c.where(F.col("rank").isin(sorted(chosen)))
     # A coarse threshold's counts are the sums at and above it.
     total = lambda k, t: F.coalesce(F.sum(F.when(F.col("p") >= t, F.col(k))), F.lit(0))

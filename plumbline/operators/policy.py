@@ -114,7 +114,7 @@ def held_only(scored: DataFrame, thresholds: dict | None = None) -> DataFrame:
 
 
 def preview_summary(scored: DataFrame, order: list[str], most: int = 500, thresholds: dict | None = None) -> DataFrame:
-    """n, hold_rate, n_relevant, n_not_relevant over the first `most` rows in the given order."""
+    """n, hold_rate (null without rows), n_relevant, n_not_relevant over the first `most` rows in the given order."""
     first = browse_policy(scored.orderBy(*order).limit(most), thresholds)
     yes = lambda c: F.coalesce(F.sum(F.col(c).cast("long")), F.lit(0))
-    return first.agg(F.count(F.lit(1)).alias("n"), (yes("hold") / F.count(F.lit(1))).alias("hold_rate"), yes("relevant").alias("n_relevant"), (F.count(F.lit(1)) - yes("relevant")).alias("n_not_relevant"))
+    return first.agg(F.count(F.lit(1)).alias("n"), F.try_divide(yes("hold"), F.count(F.lit(1))).alias("hold_rate"), yes("relevant").alias("n_relevant"), (F.count(F.lit(1)) - yes("relevant")).alias("n_not_relevant"))

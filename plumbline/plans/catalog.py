@@ -658,7 +658,7 @@ def train_predict(spark, d):
     truth = table(spark, d, "labels").select(F.col("doc_id").cast("string").alias("review_id"), F.col("quality").cast("double").alias("spam_low_quality"), F.col("toxic").cast("double").alias("relevancy_score"))
     known = f.join(truth, "review_id")
     fold = F.crc32(F.col("review_id").cast("binary")) % 5
-    cfg = modeling.Training(exclude=("review_id", "gmap_id", "user_id", "text", "time", "rating", "age_days"), trees=10, depth=3)
+    cfg = modeling.Training(exclude=("review_id", "gmap_id", "user_id", "text", "time", "rating", "age_days"), trees=10, leaves=8, rate=0.2)
     heads = modeling.train(known.where(fold > 0), known.where(fold == 0), cfg, ("spam_low_quality", "relevancy_score"))
     return modeling.predict(f, heads)
 

@@ -200,7 +200,7 @@ def test_models(spark, tmp_path):
     rng = random.Random(3)
     rows = [(str(i), x := rng.random(), rng.random(), i % 2 == 0, float(x > 0.5), x) for i in range(400)]
     df = spark.createDataFrame(rows, "review_id string, a double, b double, c boolean, ads_promo double, relevancy_score double").withColumn("ads_promo_bin", F.lit(1))
-    cfg = modeling.Training(trees=5, depth=2)
+    cfg = modeling.Training(trees=5, depth=2, rate=0.4)
     assert modeling.pick_features(df, cfg) == ["a", "b", "c"]
     train, val = df.where("review_id % 4 > 0"), df.where("review_id % 4 = 0")
     heads = modeling.train(train, val, cfg)
@@ -217,5 +217,5 @@ def test_models(spark, tmp_path):
     assert one == {k: pytest.approx(many[f"pred_{k}"]) for k in heads} and modeling.predict_one({}, {}, spark) == {}
     assert modeling.predict_one(heads, {}, spark) == modeling.predict_one(heads, {"a": None, "b": float("nan")}, spark)
     assert modeling.train_binary(train.withColumn("ads_promo", F.lit(0.0)), val, "ads_promo", ["a"], cfg) is None
-    sig = modeling.train_binary(train, val, "ads_promo", ["a"], modeling.Training(trees=3, depth=2, calibrate="sigmoid", tune=True))
+    sig = modeling.train_binary(train, val, "ads_promo", ["a"], modeling.Training(trees=3, depth=2, rate=0.4, calibrate="sigmoid", tune=True))
     assert isinstance(sig.calibrator, tuple) and 0 <= sig.threshold <= 1

@@ -67,7 +67,7 @@ def test_best_threshold_has_no_window_over_all(spark):
     df = spark.createDataFrame(rows, "y int, p double")
     got = metrics.best_f1(df).first()
     points = sorted({p for _, p in rows})
-    picked = {points[int(round(k * (len(points) - 1) / 511))] for k in range(512)} | set(metrics.COARSE)
+    picked = {points[int(k * (len(points) - 1) / 511)] for k in range(512)} | set(metrics.COARSE)
     f1 = lambda t: 2 * sum(y for y, p in rows if p >= t) / (sum(p >= t for _, p in rows) + sum(y for y, _ in rows))
     best = max(round(f1(t), 12) for t in picked)
     assert round(got.f1, 12) == best and got.threshold == min(t for t in picked if round(f1(t), 12) == best)
