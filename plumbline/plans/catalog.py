@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import fields, patterns, schema, text
 from plumbline.functions.schema import BINARY, CONTINUOUS
-from plumbline.operators import annotation, features, joins, labeling, metrics, modeling, policy, rules, sampling, splitting
-from plumbline.sources.scratch import materialize
+from plumbline.operators import annotation, features, joins, labeling, metrics, modeling, policy, rules, sampling, splitting, temporal
+from plumbline.sources.scratch import materialize, new_path
+from plumbline.streaming import scoring, sessions
 
 #: 2025-01-01 UTC, so that ages don't depend on the day.
 AS_OF = 1735689600
@@ -669,3 +670,70 @@ def feature_summary(spark, d):
     r = reviews(spark, d).join(table(spark, d, "labels").select(F.col("doc_id").cast("string").alias("review_id"), "quality"), "review_id", "left")
     return r.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("review_id").alias("ids"), F.count("quality").alias("labelled"))
 
+
+
+# --- over time -------------------------------------------------------------------------------------
+
+_PLACED = "placed AS (SELECT o_orderkey, o_custkey % 150 AS user_id, make_timestamp(1704067200000000 + (o_orderkey * 7919 % 2592000) * 1000000) AS ts FROM orders)"
+
+
+def _placed(spark, d) -> DataFrame:
+    """Orders as acts of the events' users, spread over the events' month."""
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("o_orderkey") * 7919 % 2592000)
+    return table(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 150).alias("user_id"), at.alias("ts"))
+
+
+@query(f"""WITH {_PLACED}, e AS (SELECT user_id, ts, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id, ts)
+SELECT o_orderkey, coalesce(e.event_id, -1) AS event_id, e.event_type, coalesce(CAST(epoch_us(p.ts) - epoch_us(e.ts) AS BIGINT), -1) AS waited FROM placed p ASOF LEFT JOIN e ON p.user_id = e.user_id AND p.ts >= e.ts""")
+def last_event_before(spark, d):
+    """Each order with the latest event of its user at or before it, and the microseconds between; -1 without one."""
+    events = table(spark, d, "events").withColumn("event_ts", F.col("ts"))
+    got = temporal.as_of_join(_placed(spark, d), events, "user_id", "ts", "ts", ["event_id", "event_type", "event_ts"], ties=["event_id"])
+    waited = F.unix_micros("ts") - F.unix_micros(F.col("event_ts").cast("timestamp"))
+    return got.select("o_orderkey", F.coalesce("event_id", F.lit(-1)).alias("event_id"), "event_type", F.coalesce(waited, F.lit(-1)).alias("waited"))
+
+
+@query(f"""WITH {_PLACED}, o AS (SELECT *, ts + INTERVAL 1 SECOND * (600 + o_orderkey % 97 * o_orderkey % 50000) AS until FROM placed)
+SELECT o.o_orderkey, e.event_id FROM o JOIN events e ON o.user_id = e.user_id AND o.ts < e.ts + INTERVAL 1 SECOND * (1 + CAST(floor(value) AS BIGINT) * 20) AND e.ts < o.until""")
+def events_during_orders(spark, d):
+    """Events and orders of one user whose spans overlap: an order is open for up to half a day, an event lasts as its value says."""
+    orders = _placed(spark, d).withColumn("until", F.timestamp_micros(F.unix_micros("ts") + (600 + F.col("o_orderkey") % 97 * F.col("o_orderkey") % 50000) * 1_000_000))
+    start = F.col("ts").cast("timestamp")
+    events = table(spark, d, "events").select("event_id", "user_id", start.alias("ts"), F.timestamp_micros(F.unix_micros(start) + (1 + F.floor("value") * 20) * 1_000_000).alias("until"))
+    pairs = temporal.overlapping(orders, events, ("ts", "until"), ("ts", "until"), "user_id")
+    return pairs.select(F.col("l.o_orderkey").alias("o_orderkey"), F.col("r.event_id").alias("event_id"))
+
+
+@query("""SELECT event_id, CAST(count(*) OVER w AS BIGINT) AS n_day, CAST(sum((event_type = 'error')::INT) OVER w AS BIGINT) AS errors_day, round(max(value) OVER w, 9) AS top_day
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW)""")
+def bursts_by_user(spark, d):
+    """Each event with the number, errors and largest value of its user's events within the day before it."""
+    made = {"n_day": F.count(F.lit(1)), "errors_day": F.sum((F.col("event_type") == "error").cast("long")), "top_day": F.max("value")}
+    return rounded(temporal.rolling(table(spark, d, "events"), "user_id", "ts", 86400 * temporal.MICROS, made).select("event_id", *made))
+
+
+_SESSIONS = """WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 2 HOUR THEN 0 ELSE 1 END AS new FROM events),
+s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
+SELECT user_id, CAST(epoch_us(min(ts)) AS BIGINT) AS start_us, CAST(epoch_us(max(ts)) AS BIGINT) AS end_us, count(*) AS n{more} FROM s GROUP BY user_id, k"""
+
+
+@query(_SESSIONS.format(more=", CAST(count(DISTINCT event_type) AS BIGINT) AS kinds"))
+def sessions_by_user(spark, d):
+    """Runs of a user's events with no more than two hours between neighbours."""
+    s = temporal.sessions(table(spark, d, "events"), "user_id", "ts", "2 hours", {"kinds": F.size(F.collect_set("event_type")).cast("long")})
+    return s.select("user_id", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "n", "kinds")
+
+
+@query(_SESSIONS.format(more=""))
+def streamed_sessions(spark, d):
+    """The same sessions from a stream over the events, with state and timers; a marker after the last event closes all of them."""
+    events = table(spark, d, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    last = events.agg(F.max("ts").alias("ts")).first()["ts"]
+    live = spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/events.parquet*").select(*[F.col(c).cast(t).alias(c) for c, t in events.dtypes])
+    if last is not None:
+        marker = materialize(spark.range(1).select(F.lit(None).cast("bigint").alias("user_id"), (F.lit(last) + F.expr("INTERVAL 100 DAYS")).alias("ts")))
+        live = live.unionByName(spark.readStream.schema(marker.schema).parquet(marker.inputFiles()[0].rsplit("/", 1)[0]))
+    folder = new_path(spark)
+    scoring.write(sessions.sessions(live, "user_id", "ts", 7200, "60 days"), f"{folder}/rows", f"{folder}/checkpoint").awaitTermination()
+    done = spark.read.schema("user_id long, start timestamp, end timestamp, n long").parquet(f"{folder}/rows")
+    return done.select("user_id", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "n")
