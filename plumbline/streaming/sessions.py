@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from plumbline.functions.fields import epoch_seconds
+
 STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 MICROS = 1_000_000
@@ -96,40 +98,55 @@ def sessions(stream: DataFrame, key: str, time: str, gap_seconds: float, late: s
 
 
 class _Copies(StatefulProcessor):
-    """How often a text was seen at a place; forgotten after a time without a new copy."""
+    """How often a text was seen at a place; forgotten when the watermark is a time past the last copy."""
 
     def __init__(self, keep_ms: int):
         self.keep_ms = keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "n long", self.keep_ms)
+        self.handle = handle
+        self.seen = handle.getValueState("seen", "n long, due long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        n = int(self.seen.get()[0]) if self.seen.exists() else 0
+        n, due = map(int, self.seen.get()) if self.seen.exists() else (0, 0)
+        last = due
         for batch in rows:
+            last = max(last, int(batch["at"].max()) + self.keep_ms)
             batch = batch[["id", "place"]].assign(n=range(n + 1, n + 1 + len(batch)))
             n += len(batch)
             yield batch
-        self.seen.update((n,))
+        if last != due:
+            if due:
+                self.handle.deleteTimer(due)
+            self.handle.registerTimer(last)
+        self.seen.update((n, last))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.seen.clear()
+        return iter(())
 
     def close(self) -> None:
         pass
 
 
-def copies(stream: DataFrame, keep_days: float = 30.0, id_key: str = "review_id", place: str = "gmap_id") -> DataFrame:
+def copies(stream: DataFrame, keep_days: float = 30.0, late: str = "2 days", id_key: str = "review_id", place: str = "gmap_id", time: str = "time") -> DataFrame:
     """id, place and text_dup_count_place: which copy of its text at its place a review is, counting those that came before it.
 
     Texts are told apart by two 64-bit hashes, the state's key together with the
-    place; a count is dropped `keep_days` after the last copy. The largest count
-    of a text is the batch feature of the same name. Rows without place or text
-    count 1 and need no state.
+    place. A count is dropped once the watermark is `keep_days` past the time of
+    its last copy, so the state holds that many days of texts. The largest count
+    of a text is the batch feature of the same name. Reviews without place, text
+    or time count 1 and need no state; late ones are left out, see late_rows.
     """
     with_store(stream.sparkSession)
-    known = F.col(place).isNotNull() & F.col("text").isNotNull()
-    hashed = stream.where(known).select(F.col(id_key).alias("id"), F.col(place).alias("place"), F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("second"), "text").alias("h2"))
+    at = F.timestamp_seconds(epoch_seconds(F.col(time)))
+    timed = stream.select(F.col(id_key).alias("id"), F.col(place).alias("place"), F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("second"), "text").alias("h2"), F.col("text").isNotNull().alias("told"), at.alias("ts"))
+    known = F.when(F.col("ts").isNotNull(), F.col("place").isNotNull() & F.col("told"))
+    hashed = timed.withWatermark("ts", late).where(known).withColumn("at", F.unix_millis("ts"))
     made = T.StructType([T.StructField("id", stream.schema[id_key].dataType), T.StructField("place", stream.schema[place].dataType), T.StructField("n", T.LongType())])
-    counted = hashed.groupBy("place", "h1", "h2").transformWithStateInPandas(_Copies(int(keep_days * 86_400_000)), made, "Append", "ProcessingTime")
-    return counted.select(F.col("id").alias(id_key), F.col("place").alias(place), F.col("n").alias("text_dup_count_place")).unionByName(stream.where(~known | known.isNull()).select(id_key, place, F.lit(1).cast("long").alias("text_dup_count_place")))
+    counted = hashed.groupBy("place", "h1", "h2").transformWithStateInPandas(_Copies(int(keep_days * 86_400_000)), made, "Append", "EventTime")
+    single = timed.where(F.col("ts").isNull() | F.col("place").isNull() | ~F.col("told")).select("id", "place", F.lit(1).cast("long").alias("n"))
+    return counted.unionByName(single).select(F.col("id").alias(id_key), F.col("place").alias(place), F.col("n").alias("text_dup_count_place"))
 
 
 def late_rows(query) -> int:

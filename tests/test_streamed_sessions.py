@@ -77,14 +77,18 @@ def test_late_rows_are_counted(spark, tmp_path):
 
 
 def test_copies(spark, tmp_path):
-    schema = "review_id string, gmap_id string, text string"
+    schema = "review_id string, gmap_id string, text string, time long"
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
-    first = [("1", "g", "a"), ("2", "g", "a"), ("3", "h", "a"), ("4", "g", None), ("5", None, "a")]
-    second = [("6", "g", "a"), ("7", "h", "b"), ("8", None, "a")]
-    for part in (first, second):
+    day, start = 86400, 1_600_000_000
+    first = [("1", "g", "a", start), ("2", "g", "a", start + 5), ("3", "h", "a", start), ("4", "g", None, start), ("5", None, "a", start), ("9", "g", "a", None)]
+    second = [("6", "g", "a", start + 10 * day), ("7", "h", "b", start + 10 * day), ("8", None, "a", start)]
+    third = [("10", "g", "a", start + 60 * day)]
+    fourth = [("11", "g", "a", start + 61 * day), ("12", "h", "a", start + 61 * day)]  # by now the copies of the first days are forgotten
+    for part in (first, second, third, fourth):
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder)
         live = spark.readStream.schema(schema).parquet(folder)
-        scoring.write(sessions.copies(live), f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+        q = scoring.write(sessions.copies(live), f"{out}/rows", f"{out}/checkpoint")
+        assert q.awaitTermination(120)
     got = {r.review_id: r.text_dup_count_place for r in spark.read.parquet(f"{out}/rows").collect()}
-    assert {got["1"], got["2"]} == {1, 2} and got["6"] == 3
-    assert [got[i] for i in ("3", "4", "5", "7", "8")] == [1, 1, 1, 1, 1] and len(got) == 8
+    assert {got["1"], got["2"]} == {1, 2} and got["6"] == 3 and got["10"] == 4 and got["12"] == 1 and got["11"] in (1, 5)
+    assert [got[i] for i in ("3", "4", "5", "7", "8", "9")] == [1] * 6 and len(got) == 12
