@@ -13,12 +13,28 @@ PUNCT_RUN = r"[!?.,;:/\\|\-_*\x{2026}]{2,}"
 ELONGATED = r"(?d)(.)\1{2,}"
 ELLIPSIS = r"\.{3,}|\x{2026}"
 SPACE = r"(?U)[\s\x1c-\x1f]+"
+DIGIT = r"(?U)\d"
 
 
 def count(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern)).cast("long")
 
 
+def ascii_only(text: Column) -> Column:
+    """Whether a text has as many bytes as characters: then what lies beyond ASCII needs no search."""
+    return F.octet_length(text) == F.length(text)
+
+
+def beyond_ascii(text: Column, pattern: str) -> Column:
+    """count, of a pattern that only characters beyond ASCII match."""
+    return F.when(ascii_only(text), F.lit(0).cast("long")).otherwise(count(text, pattern))
+
+
+def left_of(text: Column, others: str) -> Column:
+    """Characters left when runs of the others are cut: far fewer matches than one a character."""
+    return F.length(F.regexp_replace(text, others, "")).cast("long")
+
+
 def ratio(part: Column, whole: Column) -> Column:
     """part / whole within 0 and 1; 0 where whole is 0."""
     return F.when(whole == 0, F.lit(0.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), part / whole)))
@@ -44,12 +60,12 @@ def text_form(text: Column, stats: Column, short_tokens_max: int = 8, long_chars
         "char_len": n,
         "token_len": stats["n"],
         "length_bucket": length_bucket(stats["n"], n, short_tokens_max, long_chars_min),
-        "emoji_count": count(text, EMOJI),
+        "emoji_count": beyond_ascii(text, EMOJI),
         "punct_runs": count(text, PUNCT_RUN),
         "elong_runs": count(text, ELONGATED),
         "ellipsis_runs": count(text, ELLIPSIS),
-        "upper_ratio": ratio(count(text, "[A-Z]"), count(text, "[A-Za-z]")),
-        "digit_ratio": ratio(count(text, r"(?U)\d"), n),
+        "upper_ratio": ratio(count(text, "[A-Z]"), left_of(text, "[^A-Za-z]+")),
+        "digit_ratio": ratio(count(text, DIGIT), n),
         "unique_token_ratio": ratio(stats["n_distinct"], stats["n"]),
     }
 
@@ -57,9 +73,9 @@ def text_form(text: Column, stats: Column, short_tokens_max: int = 8, long_chars
 def language(text: Column, nonlatin_flag: float = 0.25) -> dict[str, Column]:
     """ascii_ratio, nonlatin_ratio and lang_hint_non_en."""
     n = F.length(text).cast("long")
-    nonlatin = ratio(count(text, r"[^\x{0000}-\x{024F}]"), n)
+    nonlatin = ratio(beyond_ascii(text, r"[^\x{0000}-\x{024F}]"), n)
     return {
-        "ascii_ratio": ratio(count(text, r"[\x00-\x7F]"), n),
+        "ascii_ratio": ratio(F.when(ascii_only(text), n).otherwise(n - left_of(text, r"[\x00-\x7F]+")), n),
         "nonlatin_ratio": nonlatin,
         "lang_hint_non_en": (nonlatin > nonlatin_flag).cast("int"),
     }

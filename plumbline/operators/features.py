@@ -7,11 +7,20 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import fields, patterns, text
 from plumbline.functions.schema import require, safe_text
+from plumbline.sources.scratch import materialize
 
 CARRY = ("review_id", "gmap_id", "user_id", "time", "rating", "text", "pics", "resp")
 GROUPS = ("text_form", "ad_promo", "nonvisit", "relevancy", "media_resp", "temporal_rating", "aggregates", "language")
 
 
+HASHES = ("__h1", "__h2")
+
+
+def hashes(text: Column) -> dict[str, Column]:
+    """Two 64-bit hashes of a text; null for a null one, so that they can be joined on by themselves."""
+    return {"__h1": F.when(text.isNotNull(), F.xxhash64(text)), "__h2": F.when(text.isNotNull(), F.xxhash64(F.lit("second"), text))}
+
+
 def group_windows(df: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
     """df joined with its groups' aggregates, and the columns made of them: counts, means and deviations by place and by user.
 
@@ -22,6 +31,9 @@ def group_windows(df: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
     """
     out: dict[str, Column] = {}
     rated = "rating" in df.columns
+    if "text" in df.columns and "__h1" not in df.columns:
+        df = df.withColumns(hashes(F.col("text")))
+    hashed = "__h1" in df.columns
     for key, name in (("gmap_id", "place"), ("user_id", "user")):
         if key not in df.columns:
             continue
@@ -34,19 +46,23 @@ def group_windows(df: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
             out[f"{name}_rating_mean"] = F.col(mean)
             out[f"{name}_rating_std"] = F.coalesce(F.col(std), F.lit(0.0))
             out[f"rating_dev_from_{name}_mean"] = F.col("rating") - F.col(mean)
-        if key == "gmap_id" and "text" in df.columns:
-            hashed = {"__h1": F.xxhash64("text"), "__h2": F.xxhash64(F.lit("second"), "text")}
-            same = df.where(F.col(key).isNotNull() & F.col("text").isNotNull()).groupBy(F.col(key).alias(k), *[v.alias(f"{x}_") for x, v in hashed.items()]).agg(F.count(F.lit(1)).alias("__same"))
-            joined = joined.withColumns(hashed)
-            on = (joined[key] == same[k]) & joined["text"].isNotNull() & (joined["__h1"] == same["__h1_"]) & (joined["__h2"] == same["__h2_"])
-            joined = joined.join(same, on, "left").drop(k, "__h1", "__h2", "__h1_", "__h2_")
+        if key == "gmap_id" and hashed:
+            same = df.where(F.col(key).isNotNull() & F.col("__h1").isNotNull()).groupBy(F.col(key).alias(k), *[F.col(x).alias(f"{x}_") for x in HASHES]).agg(F.count(F.lit(1)).alias("__same"))
+            on = (joined[key] == same[k]) & (joined["__h1"] == same["__h1_"]) & (joined["__h2"] == same["__h2_"])
+            joined = joined.join(same, on, "left").drop(k, *HASHES, "__h1_", "__h2_")
             out["text_dup_count_place"] = F.coalesce(F.col("__same"), F.lit(1))
         df = joined
     return df, out
 
 
 def features(df: DataFrame, as_of: float, groups=GROUPS, carry=CARRY, lexicons: dict = patterns.LEXICONS, short_tokens_max: int = 8, long_chars_min: int = 200, nonlatin_flag: float = 0.25) -> DataFrame:
-    """The carried columns there are, and the groups' columns."""
+    """The carried columns there are, and the groups' columns.
+
+    Whatever is made of texts is made first. Where the aggregates are wanted and
+    the text is not carried, these numbers and the texts' hashes are written
+    once, and the joins of the aggregates read that table: texts are read once
+    and never shuffled.
+    """
     require(df, ["text"])
     kept = [c for c in carry if c in df.columns]
     made: dict[str, Column] = {}
@@ -65,9 +81,12 @@ def features(df: DataFrame, as_of: float, groups=GROUPS, carry=CARRY, lexicons:
         made |= fields.media(df)
     if "temporal_rating" in groups:
         made |= fields.temporal(df, as_of)
-    if "aggregates" in groups:
-        source, found = group_windows(source)
-        made |= found
+    names = list(made)
     if "language" in groups:
         made |= text.language(t, nonlatin_flag)
-    return source.select(*kept, *[v.alias(k) for k, v in made.items()])
+    if "aggregates" not in groups:
+        return source.select(*kept, *[v.alias(k) for k, v in made.items()])
+    keys = [c for c in ("gmap_id", "user_id", "rating") if c in df.columns and c not in kept]
+    narrow = source.select(*kept, *keys, *[v.alias(k) for k, v in (made | hashes(F.col("text"))).items()])
+    joined, found = group_windows(narrow if "text" in kept else materialize(narrow))
+    return joined.select(*kept, *names, *[v.alias(k) for k, v in found.items()], *[k for k in made if k not in names])

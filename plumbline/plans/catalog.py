@@ -215,18 +215,61 @@ def rules_by_place(spark, d):
     return scored.groupBy("gmap_id").agg(F.count(F.lit(1)).alias("n"), total("rule_ads_strong").alias("ads"), total("rule_spam_strong").alias("spam"), total("rule_none").alias("none"))
 
 
+_TOP, _SHORT = "|".join(patterns.TOP_LEVEL), "|".join(h.replace(".", "[.]") for h in patterns.SHORTENERS)
+_START, _END = r"(^|[^\pL\pN_])", r"([^\pL\pN_]|$)"
+
+
+def _listed(name: str) -> str:
+    """Whether a text has any term of a lexicon as whole words."""
+    terms = "|".join(t.replace("'", "''").replace(" ", r"\s+") for t in patterns.LEXICONS[name])
+    return f"regexp_matches(text, '(?i){_START}({terms}){_END}')"
+
+
+#: The twelve flags in a dialect without look-around or Unicode word boundaries.
+_SHAPES = {
+    "has_url": rf"(?i){_START}(https?://|www[.])\S*[\pL\pN_]",
+    "has_domain": rf"(?i){_START}([a-z0-9]([a-z0-9-]{{0,61}}[a-z0-9])?[.])+({_TOP}){_END}",
+    "has_short_url": rf"(?i){_START}({_SHORT})/\S*[\pL\pN_]",
+    "has_phone_us": r"([+]?1[\s.-]?)?[(]?\d{3}[)]?[\s.-]?\d{3}[\s.-]?\d{4}",
+    "has_phone_any": r"[+]?\d[\d\s().-]{7,}\d",
+    "has_email": rf"(?i){_START}[A-Z0-9._%+-]+@[A-Z0-9.-]+[.][A-Z]{{2,}}{_END}",
+    "has_social_handle": r"(^|[\s:])@[\pL\pN_.]{2,}",
+    "has_hashtag": r"(^|\s)#[\pL\pN_]{2,}",
+    "has_currency": rf"(?i)({_START}(USD|SGD|US[$]|S[$])|[\pL\pN_][$])\s?\d{{1,4}}([.,]\d{{3}})*([.]\d{{2}})?{_END}",
+    "has_percent_off": rf"(?i){_START}\d{{1,3}}\s?%(\s*(off|discount){_END}|[\pL\pN_])",
+    "has_promo_code": rf"(?i){_START}(use|apply|enter)\s+(code|coupon)\s+[A-Z0-9-]{{3,}}[A-Z0-9](-|{_END})",
+    "has_cta": rf"(?i){_START}((dm|pm|message|whatsapp|telegram|call|text)\s+(me|us|now)|order now|limited time|link in bio){_END}",
+}
+_RULED = rf"""{R}, c AS (SELECT review_id, unnest(range(1, length(text) + 1)) AS i, text FROM reviews),
+x AS (SELECT review_id, i, substr(text, i, 1) AS ch FROM c),
+w AS (SELECT review_id, ch, i - row_number() OVER (PARTITION BY review_id, ch ORDER BY i) AS run FROM x WHERE ch <> chr(10)),
+long_runs AS (SELECT DISTINCT review_id FROM w GROUP BY review_id, ch, run HAVING count(*) >= 3),
+f AS (SELECT review_id, gmap_id, {TOKENS} AS tok, {", ".join(f"CAST(regexp_matches(text, '{p}') AS INTEGER) AS {k}" for k, p in _SHAPES.items())},
+  CAST({_listed("promo")} AS INTEGER) AS promo, CAST({_listed("contact")} AS INTEGER) AS contact, {_listed("nonvisit")} AS nonvisit, {_listed("offtopic")} AS offtopic,
+  contains(lower(text), lower(category)) AS mentioned, {n_matches('[!?.,;:/|_*…-]{2,}')} AS punct_runs,
+  {n_matches('[🌀-🫿☀-➿🇦-🇿]')} AS emoji, CAST(count(*) OVER (PARTITION BY gmap_id, text) AS BIGINT) AS dup,
+  CAST(review_id IN (SELECT review_id FROM long_runs) AS INTEGER) AS elong FROM reviews),
+s AS (SELECT review_id, gmap_id, ({" + ".join(_SHAPES)} + promo + contact) / 14.0::DOUBLE AS ads,
+  (CAST(len(tok) <= 8 AS INTEGER) + has_short_url + CAST(punct_runs >= 1 AS INTEGER) + elong + CAST(emoji >= 3 AS INTEGER) + CAST(dup >= 2 AS INTEGER)) / 6.0::DOUBLE AS spam,
+  CAST(offtopic AND NOT mentioned AS DOUBLE) AS irrelevant, CAST(nonvisit AS DOUBLE) AS rant FROM f),
+b AS (SELECT *, CAST(ads >= 0.4 AS INTEGER) AS rule_ads_strong, CAST(spam >= 0.6 AS INTEGER) AS rule_spam_strong, CAST(irrelevant >= 0.5 AS INTEGER) AS rule_irrelevant_strong, CAST(rant >= 0.5 AS INTEGER) AS rule_rant_strong FROM s),
+ruled AS (SELECT *, CAST(rule_ads_strong + rule_spam_strong + rule_irrelevant_strong + rule_rant_strong = 0 AS INTEGER) AS rule_none FROM b)"""
+
+
 def _ruled(spark, d) -> DataFrame:
     """All groups of features and the rules on all of their signals, unchanged."""
-    return rules.rules(features.features(reviews(spark, d), AS_OF, carry=(*features.CARRY, "category")))
+    return rules.rules(features.features(reviews(spark, d), AS_OF, carry=("review_id", "gmap_id", "user_id", "time", "rating", "category")))
 
 
-@query()
+@query(f"""WITH {_RULED} SELECT review_id, round(ads, 9) AS rule_ads_score, round(spam, 9) AS rule_spam_score, irrelevant AS rule_irrelevant_score, rant AS rule_rant_score,
+  rule_ads_strong, rule_spam_strong, rule_irrelevant_strong, rule_rant_strong, rule_none FROM ruled""")
 def rules_scores_whole(spark, d):
-    """The four rule scores, strong flags and rule_none on all signals; DuckDB can't state some of the patterns."""
+    """The four rule scores, strong flags and rule_none on all signals."""
     return rounded(_ruled(spark, d).select("review_id", *[f"rule_{k}_score" for k in rules.STRONG], *[f"rule_{k}_strong" for k in rules.STRONG], "rule_none"))
 
 
-@query()
+@query(f"""WITH {_RULED} SELECT gmap_id, count(*) AS n, CAST(sum(rule_ads_strong) AS BIGINT) AS ads, CAST(sum(rule_spam_strong) AS BIGINT) AS spam,
+  CAST(sum(rule_irrelevant_strong) AS BIGINT) AS irrelevant, CAST(sum(rule_rant_strong) AS BIGINT) AS rant, CAST(sum(rule_none) AS BIGINT) AS none FROM ruled GROUP BY gmap_id""")
 def rules_by_place_whole(spark, d):
     """Flagged reviews of each place, on all signals and with the rules' own cutoffs."""
     total = lambda c: F.sum(F.col(c).cast("long"))
@@ -737,3 +780,16 @@ def streamed_sessions(spark, d):
     scoring.write(sessions.sessions(live, "user_id", "ts", 7200, "60 days"), f"{folder}/rows", f"{folder}/checkpoint").awaitTermination()
     done = spark.read.schema("user_id long, start timestamp, end timestamp, n long").parquet(f"{folder}/rows")
     return done.select("user_id", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "n")
+
+
+_PAGES = """pages_as_reviews AS (SELECT CAST(page_id AS VARCHAR) AS review_id, html AS text FROM pages)"""
+
+
+@query(rf"""WITH {_PAGES} SELECT review_id, {", ".join(f"regexp_matches(text, '{p}') AS {k}" for k, p in _SHAPES.items())},
+  {", ".join(f"CAST({_listed(k)} AS BIGINT) AS {k}" for k in patterns.LEXICONS)} FROM pages_as_reviews""")
+def signals_of_pages(spark, d):
+    """The twelve flags, and whether each lexicon has a hit, over the markup of pages, which holds links, numbers and symbols of all kinds."""
+    t = table(spark, d, "pages").select(F.col("page_id").cast("string").alias("review_id"), F.col("html").alias("text"))
+    made = patterns.promotion(F.col("text")) | patterns.nonvisit(F.col("text")) | patterns.relevancy(F.col("text"), [])
+    hit = {k: F.least(made[f"{k}_hits"], F.lit(1)).cast("long") for k in patterns.LEXICONS}
+    return t.select("review_id", *[made[k].alias(k) for k in _SHAPES], *[v.alias(k) for k, v in hit.items()])
