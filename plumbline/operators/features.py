@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ GROUPS = ("text_form", "ad_promo", "nonvisit", "relevancy", "media_resp", "tempo
 
 
 HASHES = ("__h1", "__h2")
+#: What rows are grouped by: reviews of a place, copies of a text at a place, reviews of a user.
+KINDS = {"place": ("gmap_id",), "copies": ("gmap_id", *HASHES), "user": ("user_id",)}
 
 
 def hashes(text: Column) -> dict[str, Column]:
@@ -21,37 +25,41 @@ def hashes(text: Column) -> dict[str, Column]:
     return {"__h1": F.when(text.isNotNull(), F.xxhash64(text)), "__h2": F.when(text.isNotNull(), F.xxhash64(F.lit("second"), text))}
 
 
-def group_windows(df: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+def totals_of(df: DataFrame, kind: str) -> DataFrame:
+    """The aggregates of a kind (place, user or copies): its keys and n; for places and users the mean and std of the rating, where there is one."""
+    key = KINDS[kind]
+    rows = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key]))
+    made = [F.avg("rating").alias("mean"), F.stddev_samp("rating").alias("std")] if kind != "copies" and "rating" in df.columns else []
+    return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), *made)
+
+
+def group_windows(df: DataFrame, totals=totals_of) -> tuple[DataFrame, dict[str, Column]]:
     """df joined with its groups' aggregates, and the columns made of them: counts, means and deviations by place and by user.
 
     Aggregates are made by groupBy, with partial sums before the shuffle, and
     joined back, so a place or user with a large share of all rows is split over
     tasks. Texts are compared by two 64-bit hashes. Rows without a key get nulls
-    (duplicates: 1).
+    (duplicates: 1). totals: (df, kind) -> the aggregates, by default those of
+    df itself.
     """
     out: dict[str, Column] = {}
     rated = "rating" in df.columns
     if "text" in df.columns and "__h1" not in df.columns:
         df = df.withColumns(hashes(F.col("text")))
-    hashed = "__h1" in df.columns
-    for key, name in (("gmap_id", "place"), ("user_id", "user")):
-        if key not in df.columns:
+    for kind, key in KINDS.items():
+        if not all(c in df.columns for c in key):
+            continue
+        groups = totals(df, kind).select(*[F.col(c).alias(f"__{kind}{i}") for i, c in enumerate(key)], F.col("n").alias(f"__{kind}_n"), *[F.col(c).alias(f"__{kind}_{c}") for c in ("mean", "std") if rated and kind != "copies"])
+        on = reduce(lambda a, b: a & b, [df[c] == groups[f"__{kind}{i}"] for i, c in enumerate(key)])
+        df = df.join(groups, on, "left").drop(*[f"__{kind}{i}" for i in range(len(key))])
+        if kind == "copies":
+            out["text_dup_count_place"] = F.coalesce(F.col("__copies_n"), F.lit(1))
             continue
-        n, mean, std, k = f"__{name}_n", f"__{name}_mean", f"__{name}_std", f"__{name}"
-        made = [F.avg("rating").alias(mean), F.stddev_samp("rating").alias(std)] if rated else []
-        groups = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(k)).agg(F.count(F.lit(1)).alias(n), *made)
-        joined = df.join(groups, df[key] == groups[k], "left").drop(k)
-        out[f"{name}_review_count"] = F.col(n)
+        out[f"{kind}_review_count"] = F.col(f"__{kind}_n")
         if rated:
-            out[f"{name}_rating_mean"] = F.col(mean)
-            out[f"{name}_rating_std"] = F.coalesce(F.col(std), F.lit(0.0))
-            out[f"rating_dev_from_{name}_mean"] = F.col("rating") - F.col(mean)
-        if key == "gmap_id" and hashed:
-            same = df.where(F.col(key).isNotNull() & F.col("__h1").isNotNull()).groupBy(F.col(key).alias(k), *[F.col(x).alias(f"{x}_") for x in HASHES]).agg(F.count(F.lit(1)).alias("__same"))
-            on = (joined[key] == same[k]) & (joined["__h1"] == same["__h1_"]) & (joined["__h2"] == same["__h2_"])
-            joined = joined.join(same, on, "left").drop(k, *HASHES, "__h1_", "__h2_")
-            out["text_dup_count_place"] = F.coalesce(F.col("__same"), F.lit(1))
-        df = joined
+            out[f"{kind}_rating_mean"] = F.col(f"__{kind}_mean")
+            out[f"{kind}_rating_std"] = F.coalesce(F.col(f"__{kind}_std"), F.lit(0.0))
+            out[f"rating_dev_from_{kind}_mean"] = F.col("rating") - F.col(f"__{kind}_mean")
     return df, out
 
 

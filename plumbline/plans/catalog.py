@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import fields, patterns, schema, text
 from plumbline.functions.schema import BINARY, CONTINUOUS
-from plumbline.operators import annotation, features, joins, labeling, metrics, modeling, policy, rules, sampling, splitting, temporal
+from plumbline.operators import annotation, features, increments, joins, labeling, metrics, modeling, policy, rules, sampling, splitting, temporal
 from plumbline.sources.scratch import materialize, new_path
 from plumbline.streaming import scoring, sessions
 
@@ -181,6 +181,17 @@ def group_windows(spark, d):
     return rounded(joined.select("review_id", *[v.alias(k) for k, v in made.items()]))
 
 
+@query(f"WITH {R} {_W}")
+def incremental_windows(spark, d):
+    """The same columns from aggregates that came in five increments and were merged, none of which was read again."""
+    r = reviews(spark, d)
+    book = increments.Book(spark, new_path(spark), fan=2)
+    for k in range(5):
+        book.add(r.where(F.pmod(F.xxhash64("review_id"), F.lit(5)) == k), f"part-{k}")
+    joined, made = book.windows(r)
+    return rounded(joined.select("review_id", *[v.alias(k) for k, v in made.items()]))
+
+
 _RULES = rf"""f AS (SELECT review_id, gmap_id, {TOKENS} AS tok, text, category,
   CAST(regexp_matches(text, '[+]?[0-9][0-9\s().-]{{7,}}[0-9]') AS INTEGER) AS phone,
   CAST(regexp_matches(text, '([+]?1[\s.-]?)?[(]?[0-9]{{3}}[)]?[\s.-]?[0-9]{{3}}[\s.-]?[0-9]{{4}}') AS INTEGER) AS us,

@@ -65,6 +65,14 @@ def delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Renames a file; an error if there is one of the new name."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    where = hadoop(path)
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(where, hadoop(to)):
+        raise FileExistsError(to)
+
+
 def clear(spark: SparkSession) -> int:
     """Deletes this application's intermediate tables, once the results that need them are written; how many."""
     paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
