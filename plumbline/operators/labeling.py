@@ -128,6 +128,20 @@ def repair(chat: list[dict]) -> list[dict]:
     return [chat[0], {"role": "user", "content": f"Your answer must be this JSON object and nothing else, each number replaced by one from 0 to 1:\n{wanted}\n\nReview:\n{review}"}]
 
 
+def ask(model: Scorer, chat: list[dict], retries: int = 1) -> tuple[list[dict], str, str | None]:
+    """The last prompt, the answer as it came and the object in it; an answer without one is followed by the repair prompt."""
+    for attempt in range(1 + retries):
+        chat = repair(chat) if attempt == 1 else chat
+        try:
+            raw = model(chat)
+            found = first_object(raw)
+        except Exception as e:  # noqa: BLE001  a failed call counts as no answer
+            raw, found = repr(e), None
+        if found:
+            break
+    return chat, raw, found
+
+
 def answers(df: DataFrame, make=lambda: heuristic, id_key: str = "review_id", retries: int = 1, **fields) -> DataFrame:
     """id, prompt (the last one, as JSON), answer (as it came) and json (the object in it, or null).
 
@@ -143,15 +157,7 @@ def answers(df: DataFrame, make=lambda: heuristic, id_key: str = "review_id", re
             out = []
             for chat in batch["__chat"]:
                 chat = [{"role": m["role"], "content": m["content"]} for m in chat]
-                for attempt in range(1 + retries):
-                    chat = repair(chat) if attempt == 1 else chat
-                    try:
-                        raw = model(chat)
-                        found = first_object(raw)
-                    except Exception as e:  # noqa: BLE001  a failed call counts as no answer
-                        raw, found = repr(e), None
-                    if found:
-                        break
+                chat, raw, found = ask(model, chat, retries)
                 out.append((json.dumps(chat, ensure_ascii=False), raw, found))
             yield pd.DataFrame({"__id": batch["__id"], **{c: [x[i] for x in out] for i, c in enumerate(("prompt", "answer", "json"))}})
 
@@ -196,6 +202,44 @@ def empty_silver(spark) -> DataFrame:
     return spark.createDataFrame([], SILVER)
 
 
-def register(spark) -> None:
-    """SQL names: extract_json(text)."""
+def _unit(x) -> float | None:
+    """clip01, of a value from JSON."""
+    try:
+        x = None if x is None or isinstance(x, bool) else float(x)
+    except (TypeError, ValueError):
+        return None
+    return None if x is None or x != x else min(1.0, max(0.0, x))
+
+
+def _scored(model: Scorer, chat, retries: int) -> tuple:
+    found = ask(model, [{"role": m["role"], "content": m["content"]} for m in chat], retries)[2]
+    known = json.loads(found) if found else dict.fromkeys(SCORES, 0.0)
+    return tuple(_unit(known.get(c)) for c in SCORES)
+
+
+def register(spark, make=lambda: heuristic, retries: int = 1) -> None:
+    """SQL names: extract_json(text); review_scores(chat), a struct of the six scores; the table function score_reviews(TABLE(t)) of a table with review_id and chat.
+
+    A chat is what messages() makes. The table function takes its table in the
+    partitions it has, so nothing is shuffled for it. make() builds the scorer
+    once a partition there, once a batch stream in review_scores.
+    """
     spark.udf.register("extract_json", _extractor())
+    kinds = ", ".join(f"{c} double" for c in SCORES)
+
+    class ScoreReviews:
+        def __init__(self):
+            self.model = make()
+
+        def eval(self, row):
+            yield row["review_id"], *_scored(self.model, row["chat"], retries)
+
+    spark.udtf.register("score_reviews", F.udtf(ScoreReviews, returnType=f"review_id string, {kinds}"))
+
+    @F.pandas_udf(kinds)
+    def review_scores(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model = make()
+        for chats in batches:
+            yield pd.DataFrame([_scored(model, chat, retries) for chat in chats], columns=list(SCORES), dtype="float64")
+
+    spark.udf.register("review_scores", review_scores)

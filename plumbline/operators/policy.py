@@ -81,6 +81,19 @@ def reasons(decided: DataFrame, id_key: str = "review_id") -> DataFrame:
     return decided.select(id_key, "action", "final", F.explode_outer("reasons").alias("reason"))
 
 
+class _Reasons:
+    """A row for each reason of a decision (review_id, action, final, reasons); one null row of a decision without any."""
+
+    def eval(self, row):
+        for reason in row["reasons"] or [None]:
+            yield row["review_id"], row["action"], row["final"], reason
+
+
+def register(spark) -> None:
+    """SQL names: the table function decision_reasons(TABLE(t))."""
+    spark.udtf.register("decision_reasons", F.udtf(_Reasons, returnType="review_id string, action string, final string, reason string"))
+
+
 #: The fallback threshold of a head, and the bounds a binary head's threshold is held to.
 DEFAULT_THRESHOLD, THRESHOLD_EDGE = 0.5, 1e-4
 

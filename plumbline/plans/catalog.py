@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import fields, patterns, schema, text
 from plumbline.functions.schema import BINARY, CONTINUOUS
-from plumbline.operators import annotation, features, increments, joins, labeling, metrics, modeling, policy, rules, sampling, splitting, temporal
+from plumbline.operators import annotation, features, increments, joins, labeling, metrics, modeling, policy, rules, sampling, sketches, splitting, strata, temporal
 from plumbline.sources.scratch import materialize, new_path
 from plumbline.streaming import scoring, sessions
 
@@ -699,6 +700,25 @@ def llm_scorer(spark, d):
     return labeling.score(reviews(spark, d))
 
 
+@query()
+def llm_scorer_sql(spark, d):
+    """The same scores, by the table function that labeling.register gives SQL."""
+    labeling.register(spark)
+    r = reviews(spark, d)
+    name = f"asked_{uuid.uuid4().hex}"
+    r.select("review_id", labeling.messages(r).alias("chat")).createOrReplaceTempView(name)
+    return spark.sql(f"SELECT * FROM score_reviews(TABLE({name}))")
+
+
+@query(f"WITH {_DECIDE} SELECT review_id, action, final, unnest(reasons) AS reason FROM decided")
+def policy_reasons_sql(spark, d):
+    """policy_reasons, by a table function in SQL text."""
+    policy.register(spark)
+    name = f"decided_{uuid.uuid4().hex}"
+    _decided(spark, d).select("review_id", "action", "final", "reasons").createOrReplaceTempView(name)
+    return spark.sql(f"SELECT * FROM decision_reasons(TABLE({name}))")
+
+
 @query(f"WITH {R} SELECT review_id, concat('Category: ', category, chr(10), 'Rating: ', CAST(rating AS VARCHAR), chr(10), 'Review:', chr(10), trim(text)) AS content FROM reviews")
 def chat_messages(spark, d):
     r = reviews(spark, d)
@@ -804,3 +824,40 @@ def signals_of_pages(spark, d):
     made = patterns.promotion(F.col("text")) | patterns.nonvisit(F.col("text")) | patterns.relevancy(F.col("text"), [])
     hit = {k: F.least(made[f"{k}_hits"], F.lit(1)).cast("long") for k in patterns.LEXICONS}
     return t.select("review_id", *[made[k].alias(k) for k in _SHAPES], *[v.alias(k) for k, v in hit.items()])
+
+
+# --- strata and sketches ---------------------------------------------------------------------------
+
+_BINNED = "binned AS (SELECT *, CASE WHEN time < 883612800 THEN '<=1997' WHEN time < 946684800 THEN '1998-1999' ELSE '2000+' END AS period FROM pool)"
+
+
+@query(f"""WITH {P}, {_BINNED} SELECT coalesce(rating, -1) AS rating, length_bucket, period, CAST(grouping(rating, length_bucket, period) AS INTEGER) AS level, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT gmap_id) AS BIGINT) AS members
+FROM binned GROUP BY CUBE (rating, length_bucket, period)""")
+def strata_cube(spark, d):
+    """Rows and places of every stratum of the pool by rating, length and period, and of every total over some of these."""
+    t = F.col("time")
+    binned = pool(spark, d).withColumn("period", F.when(t < 883612800, "<=1997").when(t < 946684800, "1998-1999").otherwise("2000+"))
+    return strata.cube(binned, ["rating", "length_bucket", "period"], "gmap_id").withColumn("rating", F.coalesce("rating", F.lit(-1)))
+
+
+@query(f"""WITH {_DECIDE}, placed AS (SELECT d.*, gmap_id FROM decided d JOIN reviews USING (review_id))
+SELECT final, action, CAST(grouping(final, action) AS INTEGER) AS level, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT gmap_id) AS BIGINT) AS members FROM placed GROUP BY ROLLUP (final, action)""")
+def decisions_rollup(spark, d):
+    """Decisions by outcome and action, with totals by outcome and over all, and the places that they concern."""
+    return strata.cube(_decided(spark, d), ["final", "action"], "gmap_id", rollup=True)
+
+
+@query("""SELECT event_type, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT user_id) AS BIGINT) AS annotators, true AS distinct_near, true AS cuts_near FROM events GROUP BY event_type""")
+def sketched_cuts(spark, d):
+    """Of each kind of event: annotators and cuts of the values, exactly and from daily sketches; near: whether those of the sketches are within their stated error."""
+    e = table(spark, d, "events")
+    days = materialize(sketches.daily(e, F.to_date("ts"), ["event_type"], F.col("value"), F.col("user_id")))
+    all_days = sketches.merged(days, ["event_type"])
+    shares = (0.05, 0.33, 0.5, 0.66, 0.95)
+    guess = all_days.select("event_type", sketches.distinct(F.col("distinct")).alias("about"), *[sketches.quantile(F.col("quantiles"), q).alias(f"q{i}") for i, q in enumerate(shares)])
+    exact = e.join(F.broadcast(guess), "event_type")  # one row a kind
+    below = [F.avg((F.col("value") <= F.col(f"q{i}")).cast("double")) for i in range(len(shares))]
+    tie = [F.avg((F.col("value") == F.col(f"q{i}")).cast("double")) for i in range(len(shares))]
+    near = [(b - t - sketches.QUANTILE_ERROR <= q) & (b + sketches.QUANTILE_ERROR >= q) for b, t, q in zip(below, tie, shares, strict=True)]
+    n = F.countDistinct("user_id")
+    return exact.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), n.alias("annotators"), (F.abs(F.max("about") - n) <= F.greatest(F.lit(1.0), sketches.DISTINCT_ERROR * n)).alias("distinct_near"), (near[0] & near[1] & near[2] & near[3] & near[4]).alias("cuts_near"))
