@@ -5,7 +5,10 @@ sentence becomes an identifier; the identifiers in text order are then matched
 against ordered licence rules: a rule holds if its identifiers occur in its
 order with at most GAP others between two of them, and a more specific rule
 silences those it overrides. An identifier that names a licence by itself
-("<licence>/ref", "<licence>/spdx") is a rule of one sentence.
+("<licence>/ref", "<licence>/spdx", "<licence>/text") is a rule of one sentence.
+
+SPDX expressions are taken apart into their terms (old identifiers too, up to
+five terms), as are grants under either or both of two licences.
 
 Comment marks at line starts (//, #, ;, --, *, /*, %, >) don't count, nor do a
 holder's name where the licence leaves it open, and the words by which a text
@@ -74,12 +77,20 @@ NAMES = {
     "WTFPL": ["Do What The F*ck You Want To Public License", "WTFPL"],
     "X11": ["X11"],
     "Zlib": ["zlib", "zlib/libpng"],
-    "BSD": ["BSD"],
+    "BSD": ["BSD", "BSD-style"],
+    "LicenseRef-MIT-style": ["MIT-style"],
 }
 _CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-ND": "Attribution-NoDerivatives", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
 NAMES |= {f"CC-{short}-{v}": [f"CC {short} {v}", f"CC-{short} {v}", f"Creative Commons {long} {v}{region}"] for short, long in _CC.items() for v, region in (("2.0", " Generic"), ("2.5", " Generic"), ("3.0", " Unported"), ("4.0", " International"))}
 NAMES |= {"CC0-1.0": ["CC0 1.0", "CC0", "CC0 1.0 Universal", "Creative Commons Zero v1.0 Universal"]}
 
+#: Older SPDX identifiers and spellings -> those of today; every GNU licence has two, for this version and for later ones too.
+OLD = {"CC-BY-SA-3.0-US": "CC-BY-SA-3.0", "BSD-2-Clause-FreeBSD": "BSD-2-Clause", "BSD-2-Clause-NetBSD": "BSD-2-Clause", "zlib": "Zlib", "MIT-Expat": "MIT"}
+for _only in [k for k in NAMES if k.endswith("-only")]:
+    _base = _only.removesuffix("-only")
+    OLD |= {_base: _only, f"{_base}+": f"{_base}-or-later"}
+    NAMES[f"{_base}-or-later"] = [f"{n}{later}" for n in NAMES[_only] for later in (" or later", ", or later", " or any later version", ", or (at your option) any later version", "+", " or newer")]
+
 #: Identifier -> sentences, written as in the licences. Matching ignores case, punctuation and white space.
 SENTENCES = {
     "ApacheGrant": ["Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."],
@@ -100,6 +111,14 @@ SENTENCES = {
     "BSDEndorse": ["Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.", "The name of the author may not be used to endorse or promote products derived from this software without specific prior written permission."],
     "GPLWarranty": [f"This {x} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE." for x in ("program", "library", "software")],
     "MPL2Form": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+    "Apache-2.0/text": ["\"License\" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document."],
+    "GPL-3.0-only/text": ["The GNU General Public License is a free, copyleft license for software and other kinds of works."],
+    "GPL-2.0-only/text": ["By contrast, the GNU General Public License is intended to guarantee your freedom to share and change free software--to make sure the software is free for all its users."],
+    "AGPL-3.0-only/text": ["The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically designed to ensure cooperation with the community in the case of network server software."],
+    "LGPL-3.0-only/text": ["This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU General Public License, supplemented by the additional permissions listed below."],
+    "LGPL-2.1-only/text": ["This license, the Lesser General Public License, applies to some specially designated software packages--typically libraries--of the Free Software Foundation and other authors who decide to use it."],
+    "MPL-2.0/text": ["You may distribute such Executable Form under the terms of this License, or sublicense it under different terms, provided that the license for the Executable Form does not attempt to limit or alter the recipients' rights in the Source Code Form under this License."],
+    "EPL-2.0/text": ["THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE (\"AGREEMENT\")."],
     "CC0Waiver": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."],
     "UnlicenseGrant": ["This is free and unencumbered software released into the public domain."],
     "BoostGrant": ["Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt)"],
@@ -147,6 +166,12 @@ TRIGGER = r"(?i)licen[cs]e|permission|redistribut|copyright|warrant|public domai
 #: Normalisation of "\n" + lower-case text as (pattern, replacement) in order; the patterns mean the same in Java, Python and RE2.
 NORMAL = (
     (r"\r\n?", "\n"),
+    # An SPDX expression becomes an identifier line for each of its terms; an exception belongs to its term.
+    (r"(spdx-license-identifier:[ (]*[a-z0-9.+-]+) with [a-z0-9.-]+", r"\1"),
+    *[(r"(spdx-license-identifier:[ (]*[a-z0-9.+-]+)[ )]+(?:and|or)[ (]+([a-z0-9.+-]+)(?: with [a-z0-9.-]+)?", r"\1 . spdx-license-identifier: \2")] * 4,
+    # A choice of two licences becomes two grants.
+    (r"(?:dual[ -])?(?:licensed|released|distributed|available) under (?:the terms of )?(?:either|both)(?: of)?(?: the)? ([^\n]{3,80}?)(?: licenses?)?,? (?:or|and)(?: the)? ([^\n]{3,60}?)(?: licenses?)?(,? at your option|[.](?: |\n|$))", r" . licensed under \1 . licensed under \2 . "),
+    (r"dual[ -]licensed under (?:the terms of )?(?:the )?([^\n]{3,60}?)(?: licenses?)?,? (?:or|and)(?: the)? ([^\n]{3,60}?)(?: licenses?)?(,? at your option|[.](?: |\n|$))", r" . licensed under \1 . licensed under \2 . "),
     (r"[ \t]*(?:\*+/|-->)[ \t]*\n", "\n"),
     (r"\n[ \t]*(?:/\*+|\*+/|//+|[*#;%>]+|--+|<!--)[ \t]*", "\n"),
     (r"\n[ \t]*(?:\(?(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})[.)]|[\x{2022}-])[ \t]+", "\n . "),
@@ -173,9 +198,9 @@ def _known() -> dict[str, str]:
     """Key of each known sentence -> its identifier."""
     out = {_key(s): name for name, group in SENTENCES.items() for s in group}
     for licence, names in NAMES.items():
-        out |= {_key(f"SPDX-License-Identifier: {licence}"): f"{licence}/spdx"}
+        out |= {_key(f"SPDX-License-Identifier: {x}"): f"{licence}/spdx" for x in (licence, *(k for k, v in OLD.items() if v == licence))}
         for n in (*names, licence):
-            out |= {k: f"{licence}/ref" for k in (_key(f"Licensed under the {n}"), _key(f"Licensed under the {n} License"), _key(f"Licensed under the {n} Licence")) if k not in out}
+            out |= {k: f"{licence}/ref" for k in (_key(f"Licensed under the {n}"), _key(f"Licensed under the {n} License"), _key(f"Licensed under the {n} Licence"), _key(f"Use of this source code is governed by the {n} license that can be found in the LICENSE file"), _key(f"Use of this source code is governed by a {n} license that can be found in the LICENSE file")) if k not in out}
     return out
 
 
@@ -189,7 +214,7 @@ def _lookup() -> Column:
 def _identifiers(text: Column) -> Column:
     s = F.concat(F.lit("\n"), F.lower(text))
     for pattern, new in NORMAL:
-        s = F.regexp_replace(s, pattern, new)
+        s = F.regexp_replace(s, pattern, re.sub(r"\\(\d)", r"$\1", new))  # groups as Java writes them
     tidy = lambda x: F.regexp_replace(F.trim(F.regexp_replace(F.regexp_replace(x, LINE, " "), " +", " ")), REF, "licensed under ")
     # Only sentences with a trigger word can be known.
     name = lambda x: F.when(x.rlike(TRIGGER), F.try_element_at(_lookup(), tidy(x)))

@@ -78,3 +78,34 @@ def test_interleaved_rules_do_not_hold(spark):
 
 def test_enough_identifiers():
     assert len(set(licenses.KNOWN.values())) >= 100
+
+
+def test_headers_of_every_day(spark):
+    """SPDX expressions and old identifiers, choices, later versions, the openings of licence files."""
+    later, body = "-or-later", "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n\nPreamble\n\n  The GNU General Public License is a free, copyleft license for\nsoftware and other kinds of works.\n\n  The licenses for most software are designed otherwise."
+    cases = {
+        "// SPDX-License-Identifier: GPL-2.0": "GPL-2.0-only",
+        "/* SPDX-License-Identifier: GPL-2.0-or-later */": "GPL-2.0" + later,
+        "# SPDX-License-Identifier: LGPL-2.1+": "LGPL-2.1" + later,
+        "SPDX-License-Identifier: MIT OR Apache-2.0": "Apache-2.0,MIT",
+        "SPDX-License-Identifier: (MIT OR Apache-2.0) AND BSD-3-Clause": "Apache-2.0,BSD-3-Clause,MIT",
+        "SPDX-License-Identifier: Apache-2.0 WITH LLVM-exception": "Apache-2.0",
+        "SPDX-License-Identifier: GPL-2.0 WITH Linux-syscall-note OR MIT\nint main() {}": "GPL-2.0-only,MIT",
+        "Licensed under either of Apache License, Version 2.0 or MIT license at your option.": "Apache-2.0,MIT",
+        "This project is dual-licensed under the MIT and Apache 2.0 licenses.": "Apache-2.0,MIT",
+        "Licensed under the GNU General Public License v3.0 or later.": "GPL-3.0" + later,
+        "This is licensed under the GPLv2+": "GPL-2.0" + later,
+        "This program is licensed under the GNU Affero General Public License, version 3 or any later version.": "AGPL-3.0" + later,
+        "// Use of this source code is governed by a BSD-style\n// license that can be found in the LICENSE file.": "BSD",
+        body: "GPL-3.0-only",
+        "Eclipse Public License - v 2.0\n\n    THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE\n    PUBLIC LICENSE (\"AGREEMENT\"). ANY USE OF THE PROGRAM IS ACCEPTANCE.": "EPL-2.0",
+        "We licensed it or they did, at your option.": "",
+        "SPDX-License-Identifier: Unknown-1.0 OR Other-2.0": "",
+    }
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r.licences for r in licenses.op2(df).collect()}
+    assert got == dict(enumerate(cases.values()))
+    import duckdb
+
+    documents = df.toPandas()  # noqa: F841
+    assert {r[0]: r[3] for r in duckdb.sql(licenses.ORACLE).fetchall()} == got
