@@ -94,7 +94,7 @@ def test_headers_of_every_day(spark):
         "Licensed under either of Apache License, Version 2.0 or MIT license at your option.": "Apache-2.0,MIT",
         "This project is dual-licensed under the MIT and Apache 2.0 licenses.": "Apache-2.0,MIT",
         "Licensed under the GNU General Public License v3.0 or later.": "GPL-3.0" + later,
-        "This is licensed under the GPLv2+": "GPL-2.0" + later,
+        "This file is licensed under the GPLv2+": "GPL-2.0" + later,
         "This program is licensed under the GNU Affero General Public License, version 3 or any later version.": "AGPL-3.0" + later,
         "// Use of this source code is governed by a BSD-style\n// license that can be found in the LICENSE file.": "BSD",
         body: "GPL-3.0-only",
