@@ -30,9 +30,8 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from plumbline.llm.common import materialize, quoted
 
@@ -180,16 +179,16 @@ def pieces(text: str, most: int, window: int) -> Iterator[tuple[str, int]]:
         start = end - (window - 1)
 
 
-def item_blocks(benchmark: DataFrame, most: int = BLOCK_BYTES, window: int = WINDOW) -> Iterator[list[tuple]]:
-    """(item_id, text, words before) in blocks of at most about `most` bytes; streamed, so the driver holds one block and one item at a time.
+def item_blocks(benchmark: DataFrame, most: int = BLOCK_BYTES, *, window: int = WINDOW) -> Iterator[list[tuple]]:
+    """(item_id, text, words before) in blocks of `most` bytes, or of one item of up to twice that; streamed, so the driver holds one block and one item at a time.
 
-    A longer item is cut into pieces; a verbatim match across the seam of two is given as two.
+    A longer item is cut into pieces of about `most`; a verbatim match across the seam of two is given as two.
     """
     block, held = [], 0
     rows = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").cast("string").alias("t")).where("t IS NOT NULL")
     for row in rows.toLocalIterator():
         whole = len(row.t.encode("utf-8", "surrogatepass"))
-        for text, first in pieces(row.t, most, window) if whole > most else [(row.t, 0)]:
+        for text, first in pieces(row.t, most, window) if whole > 2 * most else [(row.t, 0)]:
             n = len(text.encode("utf-8", "surrogatepass"))
             if block and held + n > most:
                 yield block
@@ -218,19 +217,14 @@ def _finder(suffixes):
     return find
 
 
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])))
-def _merged(spans: pd.Series) -> pd.Series:
-    """Each row's spans in order, those that meet as one; linear but for the sort."""
-    out = []
-    for row in spans:
-        merged: list[dict] = []
-        for a, b in sorted((x["start"], x["end"]) for x in row):
-            if merged and a <= merged[-1]["end"]:
-                merged[-1]["end"] = max(merged[-1]["end"], b)
-            else:
-                merged.append({"start": a, "end": b})
-        out.append(merged)
-    return pd.Series(out, dtype=object)
+def _merged(passes: DataFrame) -> DataFrame:
+    """__place and __spans: the spans of all passes in order, those that meet as one. Linear in a text's spans but for the sort."""
+    each = passes.select("__place", F.inline("spans"))
+    w = Window.partitionBy("__place").orderBy("start", "end")
+    before = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    marked = each.withColumn("__new", F.when(F.col("start") <= before, 0).otherwise(1))
+    runs = marked.withColumn("__run", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))).groupBy("__place", "__run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return runs.groupBy("__place").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans"))
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, column: str = "text", name: str = "hit") -> DataFrame:
@@ -254,11 +248,10 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, column: st
         passes.append(materialize(hits.select("__place", "h.spans", "h.items", "h.matches")))
         shared.destroy()
     every = reduce(DataFrame.unionByName, passes)
-    gathered = every.groupBy("__place").agg(*[F.flatten(F.collect_list(c)).alias(f"__{c}") for c in ("spans", "items", "matches")])
-    # A text's spans of several blocks, merged; equal ids may be in several.
-    spans = _merged("__spans")
+    gathered = every.groupBy("__place").agg(*[F.flatten(F.collect_list(c)).alias(f"__{c}") for c in ("items", "matches")])
     none = lambda c, kind: F.coalesce(F.col(c), F.array().cast(kind))
-    gathered = gathered.select("__place", spans.alias("__spans"), F.array_sort(F.array_distinct("__items")).alias("__items"), "__matches")
+    # Equal ids may be in several blocks.
+    gathered = gathered.select("__place", F.array_sort(F.array_distinct("__items")).alias("__items"), "__matches").join(_merged(every), "__place")
     both = base.join(gathered, "__place", "left")
     hit = F.struct(
         count.alias("n_words"),
