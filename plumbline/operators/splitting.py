@@ -62,8 +62,9 @@ def quantile(values: DataFrame, q: float) -> float | None:
     if place == rank:
         return low
     upto, after = values.agg(F.sum((F.col("x") <= low).cast("long")), F.min(F.when(F.col("x") > low, F.col("x")))).first()
-    above = low if upto > rank + 1 else after
-    return (rank + 1 - place) * low + (place - rank) * above
+    if upto > rank + 1:
+        return low  # a weighted sum of two equal values may round to below them, and rows at the cut would be above it
+    return min(after, max(low, (rank + 1 - place) * low + (place - rank) * after))
 
 
 def cuts(df: DataFrame, prevalence: dict) -> dict[str, float]:

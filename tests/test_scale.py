@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -117,3 +118,11 @@ def test_cached_reader(spark, tmp_path):
     first, again = io.read_cached(spark, path), io.read_cached(spark, path)
     assert first.count() == again.count() == 3 and again.storageLevel.useMemory
     spark.catalog.clearCache()
+
+
+@pytest.mark.parametrize("n", [10, 29, 47, 99])
+def test_a_cut_between_equal_scores_is_that_score(spark, n):
+    """At these sizes the weighted sum of two equal scores rounds to below them; rows at the cut aren't above it."""
+    df = spark.createDataFrame([(0.949,)] * n, "ads_promo double")
+    assert splitting.quantile(df.toDF("x"), 0.95) == 0.949
+    assert splitting.binarize(df, splitting.cuts(df, {"ads_promo": 5})).agg({"ads_promo_bin": "sum"}).first()[0] == 0
