@@ -136,9 +136,21 @@ def holdout_groups(df: DataFrame, percent: float, group: str, time: str = "time"
     return last.orderBy(order, F.desc(group)).limit(k).select(group)
 
 
+#: Means of scores up to this size are compared by exact sums, to 18 decimals.
+EXACT = 10**6
+
+
 def group_labels(df: DataFrame, group: str, labels=BINARY) -> DataFrame:
-    """group and label: the label with most positives, ties by mean score, then by order; "genuine" without any."""
-    found = [F.struct(F.sum(f"{k}_bin").cast("long").alias("n"), F.avg(finite(F.col(k))).alias("mean"), F.lit(-i).alias("order"), F.lit(k).alias("label")) for i, k in enumerate(labels)]
+    """group and label: the label with most positives, ties by mean score, then by order; "genuine" without any.
+
+    A group has one number of rows, so sums stand for means. They are decimal:
+    sums of doubles differ in their last digits by the order of rows, so equal
+    means would be told apart by it.
+    """
+    scores = {k: finite(F.col(k)) for k in labels}
+    large = F.max(F.greatest(*[F.abs(x) for x in scores.values()], F.lit(0.0))) > EXACT
+    exact = lambda x: F.when(~large, F.sum(F.when(F.abs(x) <= EXACT, x).cast("decimal(38,18)")))
+    found = [F.struct(F.sum(f"{k}_bin").cast("long").alias("n"), exact(x).alias("exact"), F.when(large, F.avg(x)).alias("mean"), F.lit(-i).alias("order"), F.lit(k).alias("label")) for i, (k, x) in enumerate(scores.items())]
     best = F.array_max(F.array(*found))
     return df.groupBy(group).agg(best.alias("__b")).select(group, F.when(F.col("__b.n") > 0, F.col("__b.label")).otherwise("genuine").alias("label"))
 

@@ -126,3 +126,18 @@ def test_a_cut_between_equal_scores_is_that_score(spark, n):
     df = spark.createDataFrame([(0.949,)] * n, "ads_promo double")
     assert splitting.quantile(df.toDF("x"), 0.95) == 0.949
     assert splitting.binarize(df, splitting.cuts(df, {"ads_promo": 5})).agg({"ads_promo_bin": "sum"}).first()[0] == 0
+
+
+@pytest.mark.parametrize("reverse", [False, True])
+def test_equal_means_are_equal_in_any_order_of_rows(spark, reverse):
+    """Sums of doubles of these scores differ in the last digit by the order of rows; the labels' order decides."""
+    scores = [0.1, 0.2, 0.3, 0.7, 0.6, 1.0, 0.4]
+    rows = [("g", x, y, 1, 1) for x, y in zip(scores, reversed(scores), strict=True)]
+    assert np.cumsum(scores)[-1] != np.cumsum(scores[::-1])[-1]
+    a, b = ("irrelevant", "ads_promo") if reverse else ("ads_promo", "irrelevant")
+    df = spark.createDataFrame(rows, f"gmap_id string, {a} double, {b} double, {a}_bin int, {b}_bin int").coalesce(1)
+    for labels in ((a, b), (b, a)):
+        assert splitting.group_labels(df, "gmap_id", labels).first()["label"] == labels[0]
+    # Means of larger numbers are compared as doubles.
+    df = spark.createDataFrame([("g", 1e300, 2e300, 1, 1), ("h", 3e7, 2e7, 1, 1)], df.schema)
+    assert dict(splitting.group_labels(df, "gmap_id", (a, b)).collect()) == {"g": b, "h": a}
