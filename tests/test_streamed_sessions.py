@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,3 +93,51 @@ def test_copies(spark, tmp_path):
     got = {r.review_id: r.text_dup_count_place for r in spark.read.parquet(f"{out}/rows").collect()}
     assert {got["1"], got["2"]} == {1, 2} and got["6"] == 3 and got["10"] == 4 and got["12"] == 1 and got["11"] in (1, 5)
     assert [got[i] for i in ("3", "4", "5", "7", "8", "9")] == [1] * 6 and len(got) == 12
+
+
+def test_a_key_has_one_timer(spark):
+    """Many open sessions of a key: one timer is set, one call reads them, and all that are due go out in it."""
+
+    class Handle:
+        def __init__(self):
+            self.timers, self.calls, self.held = set(), 0, []
+
+        def getListState(self, *_):
+            return self
+
+        def get(self):
+            self.calls += 1
+            return iter(self.held)
+
+        def put(self, spans):
+            self.held = spans
+
+        def clear(self):
+            self.held = []
+
+        def registerTimer(self, at):
+            self.timers.add(at)
+
+        def deleteTimer(self, at):
+            self.timers.discard(at)
+
+    class At:
+        def __init__(self, at):
+            self.at = at
+
+        def getExpiryTimeInMs(self):
+            return self.at
+
+        getCurrentWatermarkInMs = getExpiryTimeInMs
+
+    handle, hour = Handle(), 3600 * sessions.MICROS
+    p = sessions._Sessions(hour)
+    p.init(handle)
+    assert not list(p.handleInputRows((1,), iter([pd.DataFrame({"at": [3 * hour * i for i in range(50, 0, -1)]})]), None))
+    assert len(handle.held) == 50 and len(handle.timers) == 1
+    out, marks = [], [3600_000 * 3 * 40, 10**12]
+    for mark in marks:
+        while (due := min(handle.timers, default=mark + 1)) <= mark:
+            out += [len(x) for x in p.handleExpiredTimer((1,), At(mark), At(due))]
+            handle.deleteTimer(due)
+    assert out == [39, 11] and not handle.held and not handle.timers and handle.calls == 3
