@@ -66,3 +66,11 @@ def test_table_functions(spark):
     assert {r[0]: tuple(r[1:]) for r in spark.sql("SELECT * FROM score_reviews(TABLE(asked_by_test))").collect()} == want
     assert {r[0]: tuple(r[1]) for r in spark.sql("SELECT review_id, review_scores(chat) FROM asked_by_test").collect()} == want
     labeling.register(spark)
+
+
+@pytest.mark.parametrize("rollup", [False, True])
+def test_a_cube_repeats_no_members(spark, rows, rollup):
+    """No rows are repeated by subset and member; what is repeated is counted by subset at once."""
+    df = spark.createDataFrame(rows, "a string, n int, who string")
+    text = strata.cube(df, ["a", "n"], "who", rollup)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in text
