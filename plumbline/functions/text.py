@@ -35,6 +35,11 @@ def left_of(text: Column, others: str) -> Column:
     return F.length(F.regexp_replace(text, others, "")).cast("long")
 
 
+def matched(text: Column, some: str) -> Column:
+    """Characters in runs of some: as many as a count of single ones has, but with a match a run."""
+    return F.length(text).cast("long") - left_of(text, some)
+
+
 def ratio(part: Column, whole: Column) -> Column:
     """part / whole within 0 and 1; 0 where whole is 0."""
     return F.when(whole == 0, F.lit(0.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), part / whole)))
@@ -64,7 +69,7 @@ def text_form(text: Column, stats: Column, short_tokens_max: int = 8, long_chars
         "punct_runs": count(text, PUNCT_RUN),
         "elong_runs": count(text, ELONGATED),
         "ellipsis_runs": count(text, ELLIPSIS),
-        "upper_ratio": ratio(count(text, "[A-Z]"), left_of(text, "[^A-Za-z]+")),
+        "upper_ratio": let(F.struct(matched(text, "[A-Z]+").alias("upper"), matched(text, "[A-Za-z]+").alias("letters")), lambda x: ratio(x["upper"], x["letters"])),
         "digit_ratio": ratio(count(text, DIGIT), n),
         "unique_token_ratio": ratio(stats["n_distinct"], stats["n"]),
     }

@@ -729,7 +729,8 @@ def chat_messages(spark, d):
 def train_predict(spark, d):
     """Two heads trained on one split of the documents, scored on all of them."""
     r = reviews(spark, d)
-    f = features.features(r, AS_OF, groups=("text_form", "temporal_rating", "language"))
+    # Written once, without the texts: training and prediction both read it, and texts are searched once.
+    f = materialize(features.features(r, AS_OF, groups=("text_form", "temporal_rating", "language"), carry=("review_id",)))
     truth = table(spark, d, "labels").select(F.col("doc_id").cast("string").alias("review_id"), F.col("quality").cast("double").alias("spam_low_quality"), F.col("toxic").cast("double").alias("relevancy_score"))
     known = f.join(truth, "review_id")
     fold = F.crc32(F.col("review_id").cast("binary")) % 5

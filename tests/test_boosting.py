@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from plumbline.functions import schema
 from plumbline.operators import boosting, features, metrics, modeling
 from plumbline.operators.boosting import Boosting, Forest, Target, fit
+from plumbline.plans import catalog
 
 NAMES = "abcdef"
 
@@ -181,3 +182,10 @@ def test_single_reviews_need_no_job(spark, data, tmp_path):
         assert not tracker.getJobIdsForGroup(group)
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
         assert got == {k: pytest.approx(want[f"pred_{k}"]) for k in heads}
+
+
+def test_documents_are_read_once(spark):
+    """Predictions read the features that training read, and search no text again."""
+    got = catalog.train_predict(spark, "/root/testdata/sf0.001")
+    assert got.inputFiles() and not any("documents.parquet" in f for f in got.inputFiles())
+    assert got.count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()

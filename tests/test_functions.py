@@ -121,3 +121,17 @@ def test_defaults(spark):
     assert set(df.columns) == set(schema.REVIEW.names) and isinstance(df.schema["resp"].dataType, T.StructType)
     with pytest.raises(ValueError):
         schema.require(df, ["absent"])
+
+
+def test_upper_ratio_of_odd_texts(spark):
+    """By runs of letters, as by single ones; the letters of a text are searched once."""
+    texts = ["", "ABC", "aBc1D é ÀB", "123 é", "x\nY\U0001f600Z", None]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    t = schema.safe_text(F.col("text"))
+    made = df.select("text", text.text_form(t, text.token_stats(t))["upper_ratio"].alias("u"))
+    for r in made.collect():
+        s = "None" if r.text is None else r.text
+        letters = sum(c.isascii() and c.isalpha() for c in s)
+        assert r.u == (sum(c.isascii() and c.isupper() for c in s) / letters if letters else 0)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("[A-Za-z]") == 1 and "[^A-Za-z]" not in plan
