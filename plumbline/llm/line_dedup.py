@@ -19,9 +19,14 @@ Jaccard similarity of 0.8 or more with it. Blank lines always stay.
    since no other line has it. Size and positional filters drop pairs that can't
    reach the threshold, as does a parity bitmap: each word flips one of 64 bits,
    so two lines differ in at least as many words as their bitmaps differ in bits.
-   Pairs whose later class is settled need no look. Survivors are verified on
-   all words of both lines: first each later class with the class whose bitmap is
-   nearest, then all pairs of those that this leaves open.
+   Pairs whose later class is settled need no look. Survivors are compared by
+   their whole prefixes, which are a small part of the words to shuffle, and what
+   may still be similar is verified on all words of both lines. Where pairs are
+   more than classes, each later class is verified first with the class whose
+   bitmap is nearest, then all pairs of those that this leaves open.
+
+   Tokens are joined by 31 bits; words that collide there draw a pair more, and
+   none less.
 
 Words are compared by their hashes: two words of a pair of lines of 50 words
 that collide in 57 bits are met once in about 10^13 pairs.
@@ -35,6 +40,7 @@ input, empty output; other columns don't matter.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -49,6 +55,8 @@ ELIGIBLE = r"[^\x20\x09-\x0D]"
 #: The sketch's slots, and how many of them make a page of it.
 SKETCH, PAGE = 1 << 19, 1 << 10
 HASH_BITS = 56
+#: Bits of a word's hash by which prefix words are joined.
+TOKEN = (1 << 31) - 1
 #: A first line's place in the order of lines.
 PLACE = ["none", "doc_id", "text_hash", "line_no"]
 
@@ -129,21 +137,30 @@ def _settled(c: DataFrame) -> DataFrame:
     return verified(rows.join(lead, "sig").where("key <> lead").select(F.col("key").alias("k1"), F.col("lead").alias("k2")).distinct(), c)
 
 
-def prefixes(c: DataFrame, sketch: bytes) -> DataFrame:
-    """token, prev (the token before it, or 0), key, at (order by document), x (size, the token's place by rarity, settled) and parity, for the prefix of each class."""
+def prefixes(c: DataFrame, sketch: bytes) -> tuple[DataFrame, Callable[[], None]]:
+    """key, at (order by document), settled, n (size), parity, last (place in the order of words where the prefix ends), head (the prefix's tokens, 0 for a word that no other class has) and twins (tokens that repeat others), bucketed by key; and a function that drops the table."""
     levels = F.lit(sketch)
     level = lambda h: (F.ascii(F.substring(levels, h.bitwiseAND(F.lit(SKETCH - 1)).cast("int") + 1, 1).cast("string")) - 32).cast("long")
     code = lambda h: F.call_function("shiftleft", level(h), F.lit(HASH_BITS)).bitwiseOR(F.call_function("shiftrightunsigned", h, F.lit(64 - HASH_BITS)))
     flip = lambda acc, x: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63).cast("long")).cast("int")))
+    # 0 stands for a word of one class only; no other token is 0.
+    token = lambda x: F.when(x >= 1 << HASH_BITS, x.bitwiseAND(F.lit(TOKEN).cast("long")).cast("int").bitwiseOR(F.lit(1))).otherwise(F.lit(0))
     # A similar line shares at least ceil(0.8 n) words, so one of the first n - ceil(0.8 n) + 1.
     n = F.size("words")
     head = F.slice(F.sort_array(F.transform("words", code)), 1, n - F.ceil(4 * n / 5).cast("int") + 1)
+    codes = c.select("key", _at(), "settled", n.alias("n"), F.aggregate("words", F.lit(0).cast("long"), flip).alias("parity"), head.alias("head"))
     # Written before it is joined, so that the sketch is part of one small plan only.
-    bags = materialize(c.select("key", _at(), "settled", n.alias("n"), F.aggregate("words", F.lit(0).cast("long"), flip).alias("parity"), head.alias("head")))
-    rows = bags.select("key", "at", "settled", "n", "parity", "head", F.posexplode("head").alias("pos", "token")).where(F.shiftright("token", HASH_BITS) > 0)
+    heads = codes.withColumns({"last": F.element_at("head", -1), "head": F.transform("head", token)})
+    known = F.array_remove("head", 0)
+    return bucketed(heads.withColumn("twins", F.size(known) - F.size(F.array_distinct(known))), "key")
+
+
+def _rows(bags: DataFrame) -> DataFrame:
+    """tokens (the token in the upper half, in the lower the one before it, or 0), key, at, parity and x (size, the token's place by rarity, settled), a row for each token of a prefix that other classes may have."""
+    rows = bags.select("key", "at", "settled", "n", "parity", "head", F.posexplode("head").alias("pos", "token")).where("token <> 0")
     packed = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.shiftleft(F.col("pos").cast("long"), 1)).bitwiseOR(F.col("settled").cast("long"))
-    prev = F.coalesce(F.get("head", F.col("pos") - 1), F.lit(0).cast("long"))
-    return rows.select("token", prev.alias("prev"), "key", "at", "parity", packed.alias("x"))
+    prev = F.coalesce(F.get("head", F.col("pos") - 1), F.lit(0)).cast("long")
+    return rows.select(F.shiftleft(F.col("token").cast("long"), 32).bitwiseOR(prev).alias("tokens"), "key", "at", "parity", packed.alias("x"))
 
 
 def _joined(rows: DataFrame) -> DataFrame:
@@ -156,21 +173,39 @@ def _joined(rows: DataFrame) -> DataFrame:
     n = {s: F.shiftrightunsigned(f"{s}.x", 32) for s in "ab"}
     rest = {s: n[s] - F.shiftright(f"{s}.x", 1).bitwiseAND(F.lit((1 << 31) - 1).cast("long")) for s in "ab"}
     settled = {s: F.col(f"{s}.x").bitwiseAND(F.lit(1).cast("long")) == 1 for s in "ab"}
-    sized = 5 * F.least(n["a"], n["b"]) >= 4 * F.greatest(n["a"], n["b"])
+    sized = (5 * n["a"] >= 4 * n["b"]) & (5 * n["b"] >= 4 * n["a"])
     # At the first word they share, both lines must have as many words left as the overlap needs.
     far = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity")))
-    near = (9 * F.least(rest["a"], rest["b"]) >= 4 * (n["a"] + n["b"])) & (9 * far <= n["a"] + n["b"])
+    placed = (9 * rest["a"] >= 4 * (n["a"] + n["b"])) & (9 * rest["b"] >= 4 * (n["a"] + n["b"]))
     # a is the later one; of a tie, each pair is met once.
     open_ = (F.col("a.at") > F.col("b.at")) & ~settled["a"] | (F.col("a.at") == F.col("b.at")) & (F.col("a.key") > F.col("b.key")) & ~(settled["a"] & settled["b"])
     # Where the tokens before are shared too, the pair is met there, and passes the filters there if it does here.
-    fresh = (F.col("a.prev") != F.col("b.prev")) | (F.col("a.prev") == 0)
-    pairs = a.hint("merge").join(b, (F.col("a.token") == F.col("b.token")) & fresh & sized & near & open_)
+    fresh = (F.col("a.tokens") != F.col("b.tokens")) | (F.col("a.tokens").bitwiseAND(F.lit(TOKEN).cast("long")) == 0)
+    # The bitmaps come first, since they drop the most.
+    pairs = a.hint("merge").join(b, (F.shiftright("a.tokens", 32) == F.shiftright("b.tokens", 32)) & (9 * far <= n["a"] + n["b"]) & open_ & sized & placed & fresh)
     return pairs.select(F.col("a.key").alias("later"), F.col("b.key").alias("earlier"), (F.col("a.at") == F.col("b.at")).alias("tie"), far.alias("far")).distinct()
 
 
-def _found(pairs: DataFrame, c: DataFrame) -> DataFrame:
+def _near(pairs: DataFrame, bags: DataFrame) -> DataFrame:
+    """Those of _joined's pairs whose prefixes share as many words as the overlap needs.
+
+    The words of a prefix that ends first are, if shared, in the other one too;
+    so the lines share those and what is left of its line at most.
+    """
+    both = pairs
+    for side in ("later", "earlier"):
+        both = both.join(bags.select(F.col("key").alias(side), *[F.col(x).alias(f"{side}_{x}") for x in ("n", "last", "twins", "head")]), side)
+    rest = {s: F.col(f"{s}_n") - F.size(f"{s}_head") for s in ("later", "earlier")}
+    left = F.when(F.col("later_last") <= F.col("earlier_last"), rest["later"]).otherwise(rest["earlier"])
+    shared = F.size(F.array_intersect("later_head", "earlier_head")) + F.col("later_twins")
+    return both.where(9 * (shared + left) >= 4 * (F.col("later_n") + F.col("earlier_n"))).select(*pairs.columns)
+
+
+def _found(pairs: DataFrame, bags: DataFrame, c: DataFrame) -> DataFrame:
     """key of the later classes of the similar ones of _joined's pairs."""
-    pairs = materialize(pairs)
+    pairs = materialize(_near(materialize(pairs), bags))
+    if pairs.count() <= c.count():
+        return verified(pairs.select(F.col("later").alias("k1"), F.col("earlier").alias("k2")), c)
     nearest = pairs.groupBy("later").agg(F.min_by("earlier", "far").alias("k2"))
     first = materialize(verified(nearest.select(F.col("later").alias("k1"), "k2"), c))
     # A tie stays, since its other class may be the later one.
@@ -191,7 +226,11 @@ def kept_lines(docs: DataFrame) -> DataFrame:
             # Keys of settled are distinct, so what a task holds of them stays small, and c with its words needs no sort.
             marks = settled.withColumn("settled", F.lit(True)).hint("shuffle_hash")
             marked = c.join(marks, "key", "left").withColumn("settled", F.coalesce("settled", F.lit(False)))
-            found = materialize(_found(_joined(prefixes(marked, rarity(c))), c))
+            bags, drop_bags = prefixes(marked, rarity(c))
+            try:
+                found = materialize(_found(_joined(_rows(bags)), bags, c))
+            finally:
+                drop_bags()
             stay = c.select("key", "doc_id", "text_hash", "line_no").join(settled.union(found), "key", "left_anti")
             return materialize(stay.groupBy("doc_id", "text_hash").agg(F.collect_list("line_no").alias("kept")))
     finally:

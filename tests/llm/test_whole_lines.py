@@ -3,6 +3,8 @@
 import re
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from plumbline.llm import line_dedup
 
 
@@ -46,9 +48,32 @@ def test_short_lines_of_a_table(spark):
 
 def test_lines_whose_names_clash(spark, monkeypatch):
     """Unequal lines that share a name are told apart by the second hash."""
-    from pyspark.sql import functions as F
-
     real = line_dedup._names
     monkeypatch.setattr(line_dedup, "_names", lambda low: (F.length(low).cast("long"), real(low)[1]))
     docs = [(1, "one two three\nsix two three\nlonger line than these"), (2, "six two three\none two three\nten two three"), (3, "longer line than these\nTEN two three")]
     assert check(spark, docs) == {1: [0, 1], 2: [0, 1]}
+
+
+def test_tokens_that_collide(spark, monkeypatch):
+    """Prefix words are joined by few bits; where these are equal for most words, nothing is lost."""
+    monkeypatch.setattr(line_dedup, "TOKEN", 7)
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    docs = [(d, "\n".join(" ".join(x.split()[:25]) for x in t.split("\n")[:6])) for d, t in rows[:60]]
+    assert check(spark, docs + [(1000 + d, t.replace("the", "thee", 1)) for d, t in docs])
+
+
+def test_rows_to_shuffle_are_narrow(spark):
+    """A prefix word's row has five longs, and pairs that share too little of their prefixes are dropped before words are shuffled."""
+    words = [f"w{i}" for i in range(400)]
+    near = " ".join(words[:60])
+    lines = [near, near.replace("w3 ", "x "), " ".join(words[:30] + words[60:90]), " ".join(words[20:70] + words[100:105])]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines * 2)], "doc_id long, text string")
+    c, drop = line_dedup.classes(docs)
+    marked = c.withColumn("settled", F.lit(False))
+    bags, drop_bags = line_dedup.prefixes(marked, line_dedup.rarity(c))
+    assert [t for _, t in line_dedup._rows(bags).dtypes] == ["bigint"] * 5
+    k = bags.select("key", "at")
+    pairs = k.select(F.col("key").alias("later"), F.col("at").alias("i")).join(k.select(F.col("key").alias("earlier"), F.col("at").alias("j")), F.col("i") > F.col("j")).select("later", "earlier", F.lit(False).alias("tie"), F.lit(0).alias("far"), "i", "j")
+    assert [(r.i, r.j) for r in line_dedup._near(pairs, bags).collect()] == [(1, 0)]
+    drop_bags()
+    drop()
