@@ -53,7 +53,8 @@ ENDS = 5
 #: A line that isn't blank.
 ELIGIBLE = r"[^\x20\x09-\x0D]"
 #: The sketch's slots, and how many of them make a page of it.
-SKETCH, PAGE = 1 << 19, 1 << 10
+SKETCH_BITS = 19
+SKETCH, PAGE = 1 << SKETCH_BITS, 1 << 10
 HASH_BITS = 56
 #: Bits of a word's hash by which prefix words are joined.
 TOKEN = (1 << 31) - 1
@@ -71,6 +72,11 @@ def _names(low: Column) -> tuple[Column, Column]:
     return F.xxhash64(low), F.xxhash64(F.lit("second"), low)
 
 
+def _slot(h: Column) -> Column:
+    """The sketch's bucket of a word's hash."""
+    return F.shiftrightunsigned(h, 64 - SKETCH_BITS)
+
+
 def _words(low: Column) -> Column:
     """The hashes of a lower-case line's distinct words, in order of appearance."""
     spaced = reduce(lambda x, c: F.replace(x, F.lit(c), F.lit(" ")), "\t\x0b\x0c\r", low)
@@ -101,18 +107,20 @@ def classes(docs: DataFrame) -> tuple[DataFrame, callable]:
     return whole, drop_whole
 
 
-def rarity(c: DataFrame) -> bytes:
-    """A byte for each of SKETCH hash buckets of words: 32 + 3 * log2 of the bucket's count in all classes, 126 at most.
+def rarity(c: DataFrame) -> Column:
+    """An array with a level for each of SKETCH hash buckets of words: 3 * log2 of the bucket's count in all classes, 94 at most.
 
-    Counts are summed by bucket; buckets are then gathered in pages of fixed size.
+    Counts are summed by bucket; buckets are then gathered in pages of fixed
+    size, and the pages in one row, as a scalar subquery: the plans that look
+    levels up name it, and don't spell it out on the driver as a literal would be.
     """
     slots = c.sparkSession.range(SKETCH).select(F.col("id").alias("slot"), F.lit(0).cast("long").alias("n"))
-    counted = c.select(F.explode("words").alias("w")).groupBy(F.col("w").bitwiseAND(F.lit(SKETCH - 1)).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    counted = c.select(F.explode("words").alias("w")).groupBy(_slot(F.col("w")).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
     level = F.least(F.lit(94), F.floor(3 * F.log2(F.greatest(F.sum("n"), F.lit(1))))).cast("long")
     dense = counted.union(slots).groupBy("slot").agg(level.alias("level"))
     pages = dense.groupBy(F.floor(F.col("slot") / PAGE).alias("page")).agg(F.sort_array(F.collect_list(F.col("slot") * 128 + F.col("level"))).alias("x"))
-    text = F.array_join(F.transform("x", lambda x: F.chr(x % 128 + 32)), "")
-    return "".join(r["s"] for r in pages.select("page", text.alias("s")).orderBy("page").collect()).encode()  # SKETCH bytes
+    stored = materialize(pages.select("page", F.transform("x", lambda x: (x % 128).cast("byte")).alias("levels")))
+    return stored.agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("page", "levels"))), lambda p: p["levels"]))).scalar()
 
 
 def verified(pairs: DataFrame, c: DataFrame) -> DataFrame:
@@ -137,19 +145,19 @@ def _settled(c: DataFrame) -> DataFrame:
     return verified(rows.join(lead, "sig").where("key <> lead").select(F.col("key").alias("k1"), F.col("lead").alias("k2")).distinct(), c)
 
 
-def prefixes(c: DataFrame, sketch: bytes) -> tuple[DataFrame, Callable[[], None]]:
+def prefixes(c: DataFrame, sketch: Column) -> tuple[DataFrame, Callable[[], None]]:
     """key, at (order by document), settled, n (size), parity, last (place in the order of words where the prefix ends), head (the prefix's tokens, 0 for a word that no other class has) and twins (tokens that repeat others), bucketed by key; and a function that drops the table."""
-    levels = F.lit(sketch)
-    level = lambda h: (F.ascii(F.substring(levels, h.bitwiseAND(F.lit(SKETCH - 1)).cast("int") + 1, 1).cast("string")) - 32).cast("long")
-    code = lambda h: F.call_function("shiftleft", level(h), F.lit(HASH_BITS)).bitwiseOR(F.call_function("shiftrightunsigned", h, F.lit(64 - HASH_BITS)))
+    code = lambda h, levels: F.shiftleft(F.get(levels, _slot(h).cast("int")).cast("long"), HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - HASH_BITS))
     flip = lambda acc, x: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63).cast("long")).cast("int")))
     # 0 stands for a word of one class only; no other token is 0.
     token = lambda x: F.when(x >= 1 << HASH_BITS, x.bitwiseAND(F.lit(TOKEN).cast("long")).cast("int").bitwiseOR(F.lit(1))).otherwise(F.lit(0))
     # A similar line shares at least ceil(0.8 n) words, so one of the first n - ceil(0.8 n) + 1.
     n = F.size("words")
-    head = F.slice(F.sort_array(F.transform("words", code)), 1, n - F.ceil(4 * n / 5).cast("int") + 1)
-    codes = c.select("key", _at(), "settled", n.alias("n"), F.aggregate("words", F.lit(0).cast("long"), flip).alias("parity"), head.alias("head"))
-    # Written before it is joined, so that the sketch is part of one small plan only.
+    # A lambda can't name a subquery; so each word gets a reference to the sketch, which no row holds.
+    ordered = F.sort_array(F.zip_with("words", F.array_repeat("sketch", n), code))
+    head = F.slice(ordered, 1, n - F.ceil(4 * n / 5).cast("int") + 1)
+    codes = c.withColumn("sketch", sketch).select("key", _at(), "settled", n.alias("n"), F.aggregate("words", F.lit(0).cast("long"), flip).alias("parity"), head.alias("head"))
+    # Written before it is joined, so that the sketch is looked up once.
     heads = codes.withColumns({"last": F.element_at("head", -1), "head": F.transform("head", token)})
     known = F.array_remove("head", 0)
     return bucketed(heads.withColumn("twins", F.size(known) - F.size(F.array_distinct(known))), "key")

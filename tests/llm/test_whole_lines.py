@@ -77,3 +77,23 @@ def test_rows_to_shuffle_are_narrow(spark):
     assert [(r.i, r.j) for r in line_dedup._near(pairs, bags).collect()] == [(1, 0)]
     drop_bags()
     drop()
+
+
+def test_plans_do_not_hold_the_sketch(spark, monkeypatch):
+    """The sketch of word counts is a subquery's result: no plan spells it out on the driver, and no row carries it."""
+    real, plans = line_dedup.bucketed, []
+
+    def seen(df, key):
+        plans.append(df._jdf.queryExecution().toString())
+        return real(df, key)
+
+    monkeypatch.setattr(line_dedup, "bucketed", seen)
+    docs = spark.createDataFrame([(1, "one two three four five six"), (2, "one two three four five seven"), (3, "one two three eight nine ten")], "doc_id long, text string")
+    c, drop = line_dedup.classes(docs)
+    bags, drop_bags = line_dedup.prefixes(c.withColumn("settled", F.lit(False)), line_dedup.rarity(c))
+    assert bags.count() == 3
+    assert len(plans) == 2
+    assert max(map(len, plans)) < 200_000
+    assert "array_repeat(scalar-subquery" in plans[1].split("== Optimized Logical Plan ==")[1]
+    drop_bags()
+    drop()
